@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 # Timestamp layouts of the feeds.
-UTC_LAYOUT = "yyyy-MM-dd'T'HH:mm:ss"
+UTC_LAYOUT = "yyyy-MM-dd'T'HH:mm:ss['Z']"
 LOCAL_LAYOUT = "yyyy-MM-dd HH:mm:ss"
 # Business rules the published figures depend on.
 WEEK_ORIGIN = "2025-01-01"
@@ -33,8 +33,8 @@ def parse_ts(c: Column | str, layout: str) -> Column:
 
 
 def utc_text(c: Column | str) -> Column:
-    """`2025-01-01T00:00:00Z` → naive timestamp holding UTC."""
-    return parse_ts(F.replace(_col(c).cast("string"), F.lit("Z"), F.lit("")), UTC_LAYOUT)
+    """`2025-01-01T00:00:00Z` (the Z may be absent) → naive timestamp holding UTC."""
+    return parse_ts(c, UTC_LAYOUT)
 
 
 def shift_hours(ts: Column | str, hours: Column | int, minutes: int = 0) -> Column:

@@ -35,33 +35,39 @@ def coverage_grid(df: DataFrame, unit: str, day: str, expected_units: DataFrame
     """Every unit × every day with its row count and a missing flag.
 
     Days are a calendar-sized set, so they travel as one array; each unit keeps the set of days it
-    reported and lists the difference. Counts are taken once, with map-side combining; units and
-    days are never joined against each other. Pass expected lists to see units that never reported
-    and days on which nothing arrived. A missing unit code cannot be matched, so all its days are
-    listed as missing.
+    reported and lists the difference. Units and days are never joined against each other, and one
+    shuffled count feeds all three parts. Pass expected lists to see units that never reported and
+    days on which nothing arrived. Rows without a unit code cannot be attributed, so the missing
+    code is listed as missing on all days.
     """
-    seen = df.groupBy(unit, day).agg(F.count("*").alias("reading_count")).where(F.col(day).isNotNull())
-    calendar = seen.select(day)
+    seen = df.where(F.col(day).isNotNull()).groupBy(unit, day).agg(F.count("*").alias("reading_count"))
+    # Reading the day through the count keeps the grouping in the plan, so its shuffle is reused.
+    arrived = seen.select(unit, F.when(F.col("reading_count") > 0, F.col(day)).alias(day))
+
+    calendar = arrived.select(day)
     if expected_days is not None:
         calendar = calendar.unionByName(expected_days.select(F.col(expected_days.columns[0]).cast("date").alias(day)))
     all_days = calendar.agg(F.collect_set(day)).scalar()
 
-    units = seen.select(unit, F.when(F.col(unit).isNotNull(), F.col(day)).alias("_d"))
+    units = arrived
     if expected_units is not None:
         units = units.unionByName(
-            expected_units.select(F.col(expected_units.columns[0]).alias(unit), F.lit(None).cast("date").alias("_d"))
+            expected_units.select(F.col(expected_units.columns[0]).alias(unit), F.lit(None).cast("date").alias(day))
         )
     holes = (
         units.groupBy(unit)
-        .agg(F.collect_set("_d").alias("_days"))
+        .agg(F.collect_set(day).alias("_days"))
         .select(unit, F.explode(F.array_except(all_days, F.col("_days"))).alias(day))
         .select(unit, day, F.lit(0).cast("bigint").alias("reading_count"), F.lit(True).alias("is_missing"))
     )
-    return (
-        seen.where(F.col(unit).isNotNull())
-        .select(unit, day, "reading_count", F.lit(False).alias("is_missing"))
-        .unionByName(holes)
+    nameless = F.col(unit).isNull()
+    observed = seen.select(
+        unit,
+        day,
+        F.when(nameless, F.lit(0).cast("bigint")).otherwise(F.col("reading_count")).alias("reading_count"),
+        nameless.alias("is_missing"),
     )
+    return observed.unionByName(holes)
 
 
 def volume_vs_mean(df: DataFrame, day: str) -> DataFrame:

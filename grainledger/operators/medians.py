@@ -60,7 +60,8 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
             "_hi",
         )
     )
-    on = F.col("_cell") == F.col("_hit")
+    # Null-safe on every column: no inferred filter, so both sides read the same shuffled counts.
+    on = F.col("_cell").eqNullSafe(F.col("_hit"))
     for k in group:
         on = on & F.col(k).eqNullSafe(F.col(f"_c_{k}"))
     in_cell = Window.partitionBy(*group, "_cell").orderBy("_v").rowsBetween(

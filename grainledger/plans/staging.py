@@ -145,9 +145,7 @@ def stg_wms(raw_wms: DataFrame) -> DataFrame:
 
 def dim_outlet_scd2(raw_outlet: DataFrame) -> DataFrame:
     """Outlet history as half-open validity intervals."""
-    changes = raw_outlet.withColumn("op_ts", utc_text("__op_ts")).withColumn(
-        "extract_date", F.col("extract_date").cast("date")
-    )
+    changes = raw_outlet.withColumn("op_ts", utc_text("__op_ts"))
     return scd2(changes, "outlet_code", "op_ts", "__seq", "__op").select(
         "outlet_code",
         "outlet_name",
