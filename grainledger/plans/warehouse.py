@@ -65,11 +65,12 @@ PARTITION_BY = {"stg_pos": "business_date", "fct_pos_line": "business_date", "st
 RUN_LOG = "pipeline_run"
 
 
-def compose(source: Callable[[str], DataFrame], *names: str) -> dict[str, DataFrame]:
-    """Compose the named tables without running anything.
+def compose(source: Callable[[str], DataFrame], *names: str,
+            settle: Callable[[str, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Compose the named tables. Nothing runs unless `settle` makes it.
 
     `source` supplies a raw feed, reference or inventory by name; only what the named tables read
-    is asked for.
+    is asked for. `settle` may replace a table that others read, for instance by a written copy.
     """
     made: dict[str, DataFrame] = {}
 
@@ -77,11 +78,17 @@ def compose(source: Callable[[str], DataFrame], *names: str) -> dict[str, DataFr
         if name not in made:
             if name in TABLES:
                 builder, reads = TABLES[name]
-                made[name] = builder(*[get(r) for r in reads])
+                made[name] = builder(*[read(r) for r in reads])
             else:
                 made[name] = source(name)
         return made[name]
 
+    def read(name: str) -> DataFrame:
+        if name not in settled:
+            settled[name] = settle(name, get(name)) if settle and name in TABLES else get(name)
+        return settled[name]
+
+    settled: dict[str, DataFrame] = {}
     return {n: get(n) for n in names}
 
 

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # A malformed timestamp or an overflowing cast must stop the job, not turn into NULL.
     "spark.sql.ansi.enabled": "true",
+    # Recording the Python call site of every column expression doubles the driver's planning time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
