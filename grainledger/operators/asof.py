@@ -7,63 +7,80 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GRAINS = ("month", "day", "hour")
+_EPOCH = "1970-01-01 00:00:00"
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate of `df` is inside its broadcast threshold."""
-    try:
-        limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:  # no JVM behind the session object (Spark Connect)
+def fits_broadcast(df: DataFrame, copies: int = 1) -> bool:
+    """Whether `copies` times Spark's size estimate of `df` is inside its broadcast threshold."""
+    if not hasattr(df, "_jdf"):  # no JVM behind the frame (Spark Connect)
         return False
-    return 0 <= size <= limit
+    limit = int(str(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return 0 < copies * size <= limit
 
 
-def _slot(ts: Column, grain: str) -> Column:
-    if grain == "month":
-        return F.year(ts) * 12 + F.month(ts)
-    if grain == "day":
-        return F.unix_date(ts.cast("date"))
-    return F.unix_date(ts.cast("date")) * 24 + F.hour(ts)
+def _seconds(ts: Column) -> Column:
+    return F.timestamp_diff("SECOND", F.lit(_EPOCH).cast("timestamp_ntz"), ts)
 
 
 def asof_join(fact: DataFrame, versions: DataFrame, key: str, ts: str, cols: Mapping[str, str],
-              grain: str | None = "auto") -> DataFrame:
+              busy_above: int = 32) -> DataFrame:
     """Left join: each fact row gets `cols` of the version with `valid_from <= ts < valid_to`.
 
     Intervals of one key must not overlap (see `scd2`), so the row count of `fact` is preserved.
     `cols` maps version columns to output names; `key` has the same name on both sides.
 
-    `grain=None` joins on the key and checks the interval: right while a key has few versions and
-    while Spark can broadcast the history. A time grain adds the period to the join key: every
-    version is listed once per period it touches, so a fact row meets only the versions of its own
-    period, and a hot key is spread over periods (adaptive skew handling can split those further).
-    `auto` takes the plain form when the history's estimated size is inside Spark's broadcast
-    threshold and the monthly one beyond it. No broadcast is forced.
+    Joining on the key and checking the interval compares every fact with every version of its key.
+    That is right for the many keys with few versions, and quadratic for one that owns a large part
+    of both sides. So the time of a busy key (more than `busy_above` versions) is cut into as many
+    equal slots as it has versions: a version is listed once per slot it touches, which at most
+    triples its rows, a fact falls into one slot, and the slot joins the key in the join condition.
+    Quiet keys have the single slot 0. The slots spread a hot key over tasks; what is still hot is
+    left to adaptive skew handling, which may split the facts of a left join.
+
+    The listed history is broadcast when three times the history's estimated size is inside Spark's
+    broadcast threshold (Spark's own estimate of a joined side is a product and never is), so the
+    facts stay where they are. Beyond that both sides are shuffled.
     """
-    if grain == "auto":
-        grain = None if fits_broadcast(versions) else "month"
+    small = F.broadcast if fits_broadcast(versions, copies=3) else lambda df: df
     right = versions.select(
         F.col(key).alias("_vkey"),
         F.col("valid_from").alias("_from"),
         F.col("valid_to").alias("_to"),
         *[F.col(src).alias(out) for src, out in cols.items()],
     )
-    on = (F.col(key) == F.col("_vkey")) & (F.col(ts) >= F.col("_from")) & (F.col(ts) < F.col("_to"))
-    if grain is None:
-        return fact.join(right, on, "left").drop("_vkey", "_from", "_to")
-    if grain not in GRAINS:
-        raise ValueError(f"grain must be one of {GRAINS}, 'auto' or None")
+    busy = (
+        right.groupBy(F.col("_vkey").alias("_bkey"))
+        .agg(
+            F.count("*").alias("_n"),
+            _seconds(F.min("_from")).alias("_lo"),
+            _seconds(F.max("_from")).alias("_hi"),
+        )
+        .where(F.col("_n") > busy_above)
+        .withColumn("_step", F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo")) / F.col("_n"))))
+        .drop("_n")
+    )
 
-    # Periods after the last change hold open versions only; folding them into that last period
-    # keeps open intervals finite without losing a match.
-    last = versions.agg(F.max(_slot(F.col("valid_from"), grain)).alias("s")).scalar()
-    spread = right.withColumn(
-        "_vslot",
-        F.explode(F.sequence(_slot(F.col("_from"), grain), F.least(_slot(F.col("_to"), grain), last))),
+    def slot(at: str) -> Column:
+        # All times after the last change share its slot: only the open version is left there.
+        inside = F.least(_seconds(F.col(at)), F.col("_hi")) - F.col("_lo")
+        return F.floor(inside / F.col("_step"))
+
+    listed = right.join(busy, F.col("_vkey") == F.col("_bkey"), "left").select(
+        *right.columns,
+        F.explode(
+            F.when(F.col("_bkey").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(
+                F.sequence(slot("_from"), slot("_to"))
+            )
+        ).alias("_vslot"),
+    )
+    placed = fact.join(small(busy), F.col(key) == F.col("_bkey"), "left").select(
+        *[fact[c] for c in fact.columns], F.coalesce(slot(ts), F.lit(0)).alias("_slot")
     )
-    left = fact.withColumn("_slot", F.least(_slot(F.col(ts), grain), last))
-    return left.join(spread, on & (F.col("_slot") == F.col("_vslot")), "left").drop(
-        "_vkey", "_from", "_to", "_slot", "_vslot"
+    on = (
+        (F.col(key) == F.col("_vkey"))
+        & (F.col("_slot") == F.col("_vslot"))
+        & (F.col(ts) >= F.col("_from"))
+        & (F.col(ts) < F.col("_to"))
     )
+    return placed.join(small(listed), on, "left").drop("_vkey", "_from", "_to", "_slot", "_vslot")

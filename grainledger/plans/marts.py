@@ -46,8 +46,7 @@ def dim_date(fiscal_calendar: DataFrame) -> DataFrame:
     )
 
 
-def fct_pos_line(pos: DataFrame, outlets: DataFrame, products: DataFrame, uom_conversion: DataFrame,
-                 grain: str | None = "auto") -> DataFrame:
+def fct_pos_line(pos: DataFrame, outlets: DataFrame, products: DataFrame, uom_conversion: DataFrame) -> DataFrame:
     """Canonical lines with the outlet as of the sale, product attributes and eaches.
 
     The two product lookups are merged into one small relation first, so the lines meet the
@@ -67,7 +66,6 @@ def fct_pos_line(pos: DataFrame, outlets: DataFrame, products: DataFrame, uom_co
             "city": "outlet_city",
             "warehouse_code": "outlet_warehouse",
         },
-        grain=grain,
     )
     return (
         with_outlet.join(pack, "sku_code", "left")

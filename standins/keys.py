@@ -303,8 +303,7 @@ def _(spark, d):
     t = warehouse_tables(spark, d, "stg_pos", "dim_outlet_scd2")
     facts = t["stg_pos"].select("txn_id", "txn_line_no", "outlet_code", "event_ts_utc")
     return asof_join(
-        facts, t["dim_outlet_scd2"], "outlet_code", "event_ts_utc", {"channel": "channel_asof", "valid_from": "since"},
-        grain="month",
+        facts, t["dim_outlet_scd2"], "outlet_code", "event_ts_utc", {"channel": "channel_asof", "valid_from": "since"}
     )
 
 

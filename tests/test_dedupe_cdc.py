@@ -118,34 +118,50 @@ def test_scd2_and_asof_match_brute_force_with_a_hot_key(spark):
     facts += [(20000 + i, v[0], v[3]) for i, v in enumerate(expected) if v[3] != END]
     fact = spark.createDataFrame(facts, "id INT, k STRING, at TIMESTAMP_NTZ")
     want = brute_asof(facts, expected)
-    for grain in (None, "month", "day", "hour", "auto"):
-        got = asof_join(fact, versions, "k", "at", {"ch": "ch_asof"}, grain=grain)
-        assert sorted((r.id, r.ch_asof) for r in got.collect()) == want, grain
+    for busy_above in (0, 5, 32, 10**6):
+        got = asof_join(fact, versions, "k", "at", {"ch": "ch_asof"}, busy_above=busy_above)
+        assert sorted((r.id, r.ch_asof) for r in got.collect()) == want, busy_above
 
 
 def test_asof_bounds(frame):
     v = frame("k STRING, valid_from TS, valid_to TS, ch STRING", ("k", T[1], T[3], "A"), ("k", T[3], T[5], "B"))
     f = frame("id INT, k STRING, t TS", (1, "k", T[1]), (2, "k", T[3]), (3, "k", T[0]), (4, "x", T[2]), (5, "k", T[5]))
-    for grain in (None, "month", "day"):
-        got = {r.id: r.c for r in asof_join(f, v, "k", "t", {"ch": "c"}, grain=grain).collect()}
+    for busy_above in (0, 32):
+        got = {r.id: r.c for r in asof_join(f, v, "k", "t", {"ch": "c"}, busy_above=busy_above).collect()}
         assert got == {1: "A", 2: "B", 3: None, 4: None, 5: None}
 
 
 def test_asof_without_any_version_keeps_all_facts(frame):
     v = frame("k STRING, valid_from TS, valid_to TS, ch STRING", ("k", T[1], T[3], "A")).where("false")
     f = frame("id INT, k STRING, t TS", (1, "k", T[1]), (2, "x", T[3]))
-    for grain in (None, "month"):
-        assert asof_join(f, v, "k", "t", {"ch": "c"}, grain=grain).where("c IS NULL").count() == 2
+    assert asof_join(f, v, "k", "t", {"ch": "c"}).where("c IS NULL").count() == 2
 
 
-def test_asof_beyond_the_broadcast_threshold_shuffles(spark, frame):
-    v = frame("k STRING, valid_from TS, valid_to TS, ch STRING", ("k", T[1], T[3], "A"))
-    f = frame("id INT, k STRING, t TS", (1, "k", T[1]))
+def hot_history(spark, versions, facts):
+    """One key owns all versions, one change per minute, and all facts."""
+    start = "TIMESTAMP_NTZ '2025-01-01 00:00:00' + make_dt_interval(0, 0, CAST({} AS INT))"
+    v = spark.range(versions).selectExpr(
+        "CAST(id * 0 AS STRING) AS k", start.format("id") + " AS valid_from", start.format("id + 1") + " AS valid_to", "id AS version"
+    )
+    f = spark.range(facts).selectExpr("CAST(id * 0 AS STRING) AS k", start.format(f"id * 7 % {versions}") + " AS t", f"id * 7 % {versions} AS expected")
+    return f, v
+
+
+def test_asof_compares_a_hot_key_with_few_versions(spark):
+    f, v = hot_history(spark, 20_000, 200_000)
+    out = asof_join(f, v, "k", "t", {"version": "got"})
+    assert out.where("got = expected").count() == 200_000
+
+
+def test_asof_works_with_and_without_broadcast(spark):
+    f, v = hot_history(spark, 500, 5_000)
+    assert "BroadcastHashJoin" in plan(asof_join(f, v, "k", "t", {"version": "got"}))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(asof_join(f, v, "k", "t", {"ch": "c"}))
-        assert "SortMergeJoin" in text and "_slot" in text and "Broadcast" not in text
+        out = asof_join(f, v, "k", "t", {"version": "got"})
+        assert "SortMergeJoin" in plan(out) and "Broadcast" not in plan(out)
+        assert out.where("got = expected").count() == 5_000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
