@@ -141,9 +141,9 @@ def hot_history(spark, versions, facts):
     """One key owns all versions, one change per minute, and all facts."""
     start = "TIMESTAMP_NTZ '2025-01-01 00:00:00' + make_dt_interval(0, 0, CAST({} AS INT))"
     v = spark.range(versions).selectExpr(
-        "CAST(id * 0 AS STRING) AS k", start.format("id") + " AS valid_from", start.format("id + 1") + " AS valid_to", "id AS version"
+        "CAST(id div 1000000 AS STRING) AS k", start.format("id") + " AS valid_from", start.format("id + 1") + " AS valid_to", "id AS version"
     )
-    f = spark.range(facts).selectExpr("CAST(id * 0 AS STRING) AS k", start.format(f"id * 7 % {versions}") + " AS t", f"id * 7 % {versions} AS expected")
+    f = spark.range(facts).selectExpr("CAST(id div 1000000 AS STRING) AS k", start.format(f"id * 7 % {versions}") + " AS t", f"id * 7 % {versions} AS expected")
     return f, v
 
 
