@@ -7,16 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_EPOCH = "1970-01-01 00:00:00"
-
+from .sizing import lookup_side
 
-def fits_broadcast(df: DataFrame, copies: int = 1) -> bool:
-    """Whether `copies` times Spark's size estimate of `df` is inside its broadcast threshold."""
-    if not hasattr(df, "_jdf"):  # no JVM behind the frame (Spark Connect)
-        return False
-    limit = int(str(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return 0 < copies * size <= limit
+_EPOCH = "1970-01-01 00:00:00"
 
 
 def _seconds(ts: Column) -> Column:
@@ -42,7 +35,6 @@ def asof_join(fact: DataFrame, versions: DataFrame, key: str, ts: str, cols: Map
     broadcast threshold (Spark's own estimate of a joined side is a product and never is), so the
     facts stay where they are. Beyond that both sides are shuffled.
     """
-    small = F.broadcast if fits_broadcast(versions, copies=3) else lambda df: df
     right = versions.select(
         F.col(key).alias("_vkey"),
         F.col("valid_from").alias("_from"),
@@ -74,7 +66,7 @@ def asof_join(fact: DataFrame, versions: DataFrame, key: str, ts: str, cols: Map
             )
         ).alias("_vslot"),
     )
-    placed = fact.join(small(busy), F.col(key) == F.col("_bkey"), "left").select(
+    placed = fact.join(lookup_side(busy, versions, copies=3), F.col(key) == F.col("_bkey"), "left").select(
         *[fact[c] for c in fact.columns], F.coalesce(slot(ts), F.lit(0)).alias("_slot")
     )
     on = (
@@ -83,4 +75,4 @@ def asof_join(fact: DataFrame, versions: DataFrame, key: str, ts: str, cols: Map
         & (F.col(ts) >= F.col("_from"))
         & (F.col(ts) < F.col("_to"))
     )
-    return placed.join(small(listed), on, "left").drop("_vkey", "_from", "_to", "_slot", "_vslot")
+    return placed.join(lookup_side(listed, versions, copies=3), on, "left").drop("_vkey", "_from", "_to", "_slot", "_vslot")

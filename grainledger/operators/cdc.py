@@ -11,6 +11,7 @@ from .dedupe import latest_per_key, tie_breakers
 
 # Fixed value: end of an open validity interval.
 OPEN_END = "9999-12-31 00:00:00"
+_EPOCH = "1970-01-01 00:00:00"
 
 
 def _as_list(key: str | Sequence[str]) -> list[str]:
@@ -25,29 +26,30 @@ def scd2(df: DataFrame, key: str | Sequence[str], ts: str, seq: str, op: str,
     none, and an update after a delete opens a new one. Of several changes at one instant only the
     last captured one can have a non-empty interval, so the others go first (before the shuffle).
 
-    The next change is looked up in two steps, inside a key's day and then across the key's days:
-    the second window holds one row per key and day, so a key that owns a third of the stream is
-    spread over its days instead of being sorted by one task.
+    The next change is looked up in two steps, inside a key's hour and then across the key's hours:
+    the second window holds one row per key and hour, so a key that owns a third of the stream is
+    spread over its hours instead of being sorted by one task.
     """
     keys = _as_list(key)
     dated = df.where(F.col(ts).isNotNull())
-    last = latest_per_key(dated, [*keys, ts], [seq], nulls="first").withColumn("_day", F.to_date(ts))
-
-    in_day = Window.partitionBy(*keys, "_day").orderBy(ts)
-    stepped = last.withColumn("_next", F.lead(ts).over(in_day)).withColumn(
-        "_opens", F.first(ts).over(in_day)
+    last = latest_per_key(dated, [*keys, ts], [seq], nulls="first").withColumn(
+        "_hour", F.timestamp_diff("HOUR", F.lit(_EPOCH).cast("timestamp_ntz"), F.col(ts))
+    )
+    in_hour = Window.partitionBy(*keys, "_hour").orderBy(ts)
+    stepped = last.withColumn("_next", F.lead(ts).over(in_hour)).withColumn(
+        "_opens", F.first(ts).over(in_hour)
     )
-    across = Window.partitionBy(*keys).orderBy("_day")
+    across = Window.partitionBy(*keys).orderBy("_hour")
     inside = stepped.where(F.col("_next").isNotNull())
-    day_ends = stepped.where(F.col("_next").isNull()).withColumn("_next", F.lead("_opens").over(across))
+    hour_ends = stepped.where(F.col("_next").isNull()).withColumn("_next", F.lead("_opens").over(across))
 
     return (
-        inside.unionByName(day_ends)
+        inside.unionByName(hour_ends)
         .where(F.col(op).isin("I", "U"))
         .withColumn("valid_to", F.coalesce(F.col("_next"), F.lit(end).cast("timestamp_ntz")))
         .withColumnRenamed(ts, "valid_from")
         .where("valid_from < valid_to")
-        .drop("_day", "_next", "_opens")
+        .drop("_hour", "_next", "_opens")
     )
 
 

@@ -20,6 +20,7 @@ from ..operators import (
     version_changes,
     volume_vs_mean,
 )
+from ..operators.sizing import lookup_side
 from .staging import pos_lines
 
 # A source suspected of adding freight to order values, and by how much.
@@ -52,9 +53,9 @@ def fct_pos_line(pos: DataFrame, outlets: DataFrame, products: DataFrame, uom_co
     The two product lookups are merged into one small relation first, so the lines meet the
     product key once.
     """
-    pack = products.select("sku_code", "product_name", "category", "case_pack").join(
-        uom_conversion.select("sku_code", "eaches_per_case"), "sku_code", "full"
-    )
+    master = products.select("sku_code", "product_name", "category", "case_pack")
+    factors = uom_conversion.select("sku_code", "eaches_per_case")
+    pack = lookup_side(master.join(factors, "sku_code", "full"), master, factors)
     with_outlet = asof_join(
         pos,
         outlets,
