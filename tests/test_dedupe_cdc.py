@@ -36,11 +36,18 @@ def test_keep_first_exact_duplicates_late_copies_and_ties(frame):
         assert got == {"a": 1.0, "b": 3.0, "c": 4.0, "d": 2.0}
 
 
-def test_dedupe_limits_rows_before_the_shuffle(spark):
+def test_dedupe_combines_rows_before_the_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 AS k", "id AS v")
     text = plan(keep_first(df, ["k"], ["v"]))
     before, after = text.split("Exchange hashpartitioning", 1)
-    assert "Final" in before and "Partial" in after
+    assert text.count("Exchange") == 1 and "Window" not in text
+    assert "partial_min" in after and "partial_min" not in before
+
+
+def test_columns_without_an_order_travel_along(spark):
+    df = spark.createDataFrame([("a", 2, {"x": 2}), ("a", 1, {"x": 1}), ("b", 3, None)], "k STRING, v INT, m MAP<STRING,INT>")
+    assert {r.k: (r.v, r.m) for r in keep_first(df, ["k"], ["v"]).collect()} == {"a": (1, {"x": 1}), "b": (3, None)}
+    assert {r.k: (r.v, r.m) for r in latest_per_key(df, ["k"], ["v"]).collect()} == {"a": (2, {"x": 2}), "b": (3, None)}
 
 
 def test_latest_per_key_takes_sequence_on_ties(frame):
