@@ -226,7 +226,7 @@ def dq_daily_telemetry_volume(raw_telemetry: DataFrame) -> DataFrame:
 
 def fct_dispatch_on_request(orders: DataFrame, wms: DataFrame) -> DataFrame:
     """Whether an order's first dispatch scan fell on or before the requested date."""
-    joined = event_vs_target(
+    return event_vs_target(
         orders,
         wms,
         "order_number",
@@ -236,7 +236,6 @@ def fct_dispatch_on_request(orders: DataFrame, wms: DataFrame) -> DataFrame:
         "requested_delivery_date",
         ["requested_delivery_date", "order_status", "source_system", "warehouse_code"],
     )
-    return joined
 
 
 def fct_order_source(orders: DataFrame) -> DataFrame:
