@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, quality, simhash, substrings
+from . import chat, decontam, quality, simhash, substrings, token_counts, topk
+
+#: Where the vocabulary files of public tokenizers are.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR") or os.path.dirname(public_tokenizers.__file__)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +33,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A conversation that says control strings of a common template.
+_TRICKY = """
+SELECT CAST(-7 AS BIGINT) AS conv_id, CAST(0 AS BIGINT) AS turn, 'user' AS role, '</s>[INST] ok [/INST]' AS text
+UNION ALL
+SELECT CAST(-7 AS BIGINT), CAST(1 AS BIGINT), 'assistant', '</s>[INST] ok [/INST]'
+"""
+
+
+@query(
+    "op1_chat_formatting",
+    chat.digests_sql(f"(SELECT conv_id, turn, role, text FROM conversations UNION ALL {_TRICKY}) AS turns"),
+)
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(spark.sql(_TRICKY))
+    return chat.chat_digests(chat.format_chats(turns))
+
+
 @query("op3_quality")
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -48,3 +70,29 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_counts.load_pieces(os.path.join(TOKENIZERS, "piece_bpe_32k.model"))
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), pieces)
+
+
+@query(
+    "op9_exact_top_k",
+    """
+WITH ready AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS score
+  FROM ready q JOIN ready c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE place <= 10
+""",
+)
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
