@@ -120,7 +120,8 @@ def class_counts(docs: DataFrame, labels: DataFrame) -> np.ndarray:
         yield pa.record_batch([pa.array(at), pa.array(sums[0, at]), pa.array(sums[1, at])], names=["f", "n0", "n1"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    texts = texts.where(~held_out(F.col("doc_id"))).join(labels, "doc_id").select("text", "y")
+    # a sort-merge join at every size: labels grow with the documents, so they are never broadcast
+    texts = texts.where(~held_out(F.col("doc_id"))).join(labels.hint("merge"), "doc_id").select("text", "y")
     sums = texts.mapInArrow(work, "f long, n0 long, n1 long").groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     found = sums.toArrow()  # at most one row for each of the hashed features
     out = np.zeros((2, width))
