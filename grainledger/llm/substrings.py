@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .storage import fresh, settle
 from .textscan import SPACE, mix, slices, span_hashes, spans, text_bytes
@@ -17,10 +18,13 @@ from .textscan import SPACE, mix, slices, span_hashes, spans, text_bytes
 CUT = 1 / 4
 #: Chunks below this many words or bytes are too common to point at a copy.
 SEED_WORDS, SEED_BYTES = 4, 20
-#: A copied passage shows this many words in chunks at least before its surroundings are compared.
-EVIDENCE_WORDS = 9
-#: Chunks end here at the latest; text on both sides of a copy that is compared byte by byte.
-MAX_BYTES, CONTEXT = 1024, 400
+#: A copied passage shows chunks over this many words at least before its surroundings are compared.
+EVIDENCE_WORDS = 14
+#: Chunks end here at the latest; bytes without a repeated chunk inside one passage, at most; text on both sides of a
+#: copy that is compared byte by byte.
+MAX_BYTES, GAP, CONTEXT = 1024, 160, 300
+#: Bits of the map of documents whose text is asked for.
+BITMAP = 1 << 25
 #: Words of a passage that counts as repeated.
 MIN_WORDS = 50
 
@@ -137,25 +141,58 @@ def shared_prefix(a: bytes, b: bytes) -> int:
     return n if all(whole) else max(0, *(a.rfind(blank, 0, n) for blank in _BLANKS))
 
 
-def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes and words by which two equal spans can be made longer on the left and on the right; nulls if unequal."""
     for batch in batches:
-        doc, first, shift, s, e, w, words, l1, r1, l2, r2 = (batch.column(i) for i in range(11))
-        lb, lw, rb, rw = [], [], [], []
-        for a, b, c, d in zip(l1.to_pylist(), r1.to_pylist(), l2.to_pylist(), r2.to_pylist()):
-            n = shared_prefix(b, d)
-            rb.append(n)
-            rw.append(len(b[:n].split()))
-            n = shared_prefix(a[::-1], c[::-1])
-            lb.append(n)
-            lw.append(len(a[len(a) - n :].split()))
-        lb, lw, rb, rw = (np.array(x, np.int32) for x in (lb, lw, rb, rw))
-        s, e, w, words = (np.asarray(x) for x in (s, e, w, words))
-        yield pa.record_batch(
-            [doc, first, shift, pa.array(s - lb), pa.array(e + rb), pa.array(w - lw), pa.array(w + words + rw)],
-            names=["doc", "first", "shift", "s", "e", "w", "v"],
-        )
+        *kept, l1, r1, i1, l2, r2, i2 = batch.columns
+        found = []
+        for a, b, x, c, d, y in zip(*(v.to_pylist() for v in (l1, r1, i1, l2, r2, i2))):
+            if x != y:
+                found.append((None,) * 4)
+                continue
+            right, left = shared_prefix(b, d), shared_prefix(a[::-1], c[::-1])
+            found.append((left, len(a[len(a) - left :].split()), right, len(b[:right].split())))
+        more = [pa.array(v, pa.int32()) for v in zip(*found)] if found else [pa.array([], pa.int32())] * 4
+        yield pa.RecordBatch.from_arrays([*kept, *more], names=[*batch.schema.names[: len(kept)], "lb", "lw", "rb", "rw"])
+
+
+def _may_hold(ids: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size (4 MB) of the hashes of ids."""
+    spot = F.pmod(F.xxhash64("doc"), F.lit(BITMAP))
+    bits = ids.select((spot / 64).cast("int").alias("at"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc), {BITMAP}) % 64 as int))").alias("bit"))
+    found = bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(BITMAP // 64, np.int64)
+    out[np.asarray(found["at"])] = np.asarray(found["bits"])
+    return out
+
+
+def _extended(rows: DataFrame, islands: DataFrame) -> DataFrame:
+    """islands (doc, first, shift, s, e, ...) and by how much each can be made longer: lb, lw, rb, rw; null if unequal."""
+    theirs = (F.col("s") - F.col("shift"), F.col("e") - F.col("shift"))
+    asked = islands.select("doc", "s", "e").union(islands.select("first", *theirs)).distinct()
+    asked = asked.groupBy("doc").agg(F.collect_list(F.struct("s", "e")).alias("asked"))
+    shared = rows.sparkSession.sparkContext.broadcast(_may_hold(islands.select("doc").union(islands.select("first"))))
 
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # keeps most texts that nobody asks for out of the shuffle
+            spot = np.asarray(batch.column(2))
+            held = shared.value[spot // 64] >> (spot % 64) & 1
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["doc", "text"]).filter(pa.array(held.astype(bool)))
 
+    some = rows.select("doc", "text", F.pmod(F.xxhash64("doc"), F.lit(BITMAP)).alias("spot")).mapInArrow(near, "doc long, text string")
+    around = some.join(asked, "doc").select("doc", "text", "asked").mapInArrow(
+        _contexts, "doc long, s int, e int, left binary, right binary, inside binary"
+    )
+    around = settle(around, "contexts")
+    copy = around.select(
+        F.col("doc").alias("first"), F.col("s").alias("fs"), F.col("e").alias("fe"), F.col("left").alias("l2"),
+        F.col("right").alias("r2"), F.col("inside").alias("i2"),
+    )
+    sides = islands.join(around, ["doc", "s", "e"]).withColumns({"fs": theirs[0], "fe": theirs[1]})
+    sides = sides.join(copy, ["first", "fs", "fe"])
+    kept = [islands.schema[c] for c in islands.columns]
+    schema = T.StructType([*kept, *(T.StructField(c, T.IntegerType()) for c in ("lb", "lw", "rb", "rw"))])
+    return sides.select(*islands.columns, "left", "right", "inside", "l2", "r2", "i2").mapInArrow(_sides, schema)
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -185,36 +222,32 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     hits = found.join(first, "digest").where("doc <> first")
     hits = hits.select("doc", "first", (F.col("start") - F.col("first_start")).alias("shift"), "start", "size", "word", "words")
 
-    along = Window.partitionBy("doc", "first", "shift").orderBy("start")
-    whole = Window.partitionBy("doc", "first", "shift")
+    by = ("doc", "first", "shift")
+    along = Window.partitionBy(*by).orderBy("start")
     end = F.col("start") + F.col("size")
-    hits = hits.withColumn("new", F.coalesce(F.col("start") > F.lag(end).over(along), F.lit(True)).cast("int"))
-    hits = hits.withColumn("run", F.sum("new").over(along)).withColumn("all_words", F.sum("words").over(whole))
-    runs = hits.where(F.col("all_words") >= EVIDENCE_WORDS).groupBy("doc", "first", "shift", "run").agg(
+    away = F.col("start") - F.lag(end).over(along)
+    hits = hits.withColumn("new", F.coalesce(away > 0, F.lit(True)).cast("int"))
+    hits = hits.withColumn("far", F.coalesce(away > GAP, F.lit(True)).cast("int"))
+    hits = hits.withColumn("run", F.sum("new").over(along)).withColumn("island", F.sum("far").over(along))
+    runs = hits.groupBy(*by, "island", "run").agg(
         F.min("start").alias("s"), F.max(end).alias("e"), F.min("word").alias("w"),
-        F.sum("words").cast("int").alias("words"),
+        F.max(F.col("word") + F.col("words")).alias("v"),
     )
-    runs = settle(runs.drop("run"), "runs")
-
-    ours = runs.select("doc", "s", "e")
-    theirs = runs.select(
-        F.col("first").alias("doc"), (F.col("s") - F.col("shift")).alias("s"), (F.col("e") - F.col("shift")).alias("e")
+    islands = runs.groupBy(*by, "island").agg(
+        F.min("s").alias("s"), F.max("e").alias("e"), F.min("w").alias("w"), F.max("v").alias("v"),
+        F.collect_list(F.struct("s", "e", "w", "v")).alias("runs"),
     )
-    asked = ours.union(theirs).distinct().groupBy("doc").agg(F.collect_list(F.struct("s", "e")).alias("asked"))
-    around = rows.join(asked, "doc").select("doc", "text", "asked").mapInArrow(
-        _contexts, "doc long, s int, e int, left binary, right binary, inside binary"
-    )
-    around = settle(around, "contexts")
-    copy = around.select(
-        F.col("doc").alias("first"), F.col("s").alias("fs"), F.col("e").alias("fe"), F.col("left").alias("first_left"),
-        F.col("right").alias("first_right"), F.col("inside").alias("first_inside"),
+    islands = settle(islands.where(F.col("v") - F.col("w") >= EVIDENCE_WORDS).drop("island"), "islands")
+    whole = settle(_extended(rows, islands), "extended")
+    # an island whose bytes differ between its chunks is taken chunk by chunk
+    torn = whole.where("lb IS NULL").select(*by, F.explode("runs").alias("r")).select(*by, "r.*")
+    torn = torn.withColumn("runs", F.array(F.struct("s", "e", "w", "v")))
+    if not torn.isEmpty():
+        whole = whole.union(_extended(rows, settle(torn, "torn")))
+    longer = whole.where("lb IS NOT NULL").select(
+        *by, (F.col("s") - F.col("lb")).alias("s"), (F.col("e") + F.col("rb")).alias("e"),
+        (F.col("w") - F.col("lw")).alias("w"), (F.col("v") + F.col("rw")).alias("v"),
     )
-    sides = runs.join(around, ["doc", "s", "e"])
-    sides = sides.withColumn("fs", F.col("s") - F.col("shift")).withColumn("fe", F.col("e") - F.col("shift"))
-    sides = sides.join(copy, ["first", "fs", "fe"]).where("inside = first_inside")
-    longer = sides.select(
-        "doc", "first", "shift", "s", "e", "w", "words", "left", "right", "first_left", "first_right"
-    ).mapInArrow(_extend, "doc long, first long, shift int, s int, e int, w int, v int")
 
     along = Window.partitionBy("doc", "first", "shift").orderBy("s", "e")
     before = F.max("e").over(along.rowsBetween(Window.unboundedPreceding, -1))
