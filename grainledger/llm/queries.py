@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, quality, simhash, substrings, token_counts, topk
+from . import byte_bpe, chat, decontam, lm_score, quality, simhash, substrings, token_counts, topk, toxicity
 
 #: Where the vocabulary files of public tokenizers are.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR") or os.path.dirname(public_tokenizers.__file__)
@@ -50,6 +50,14 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(chat.format_chats(turns))
 
 
+@query("op2_lm_scoring")
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target are the documents that labels call good."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id"))
+    return lm_score.cross_entropy_difference(docs, lm_score.labelled(docs, good))
+
+
 @query("op3_quality")
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -65,6 +73,17 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+#: Languages whose toxic texts are a category of their own, in the order of the chain.
+LANGUAGES = ["de", "en", "es", "fr"]
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    known = toxicity.by_language(docs, labels, LANGUAGES)
+    return toxicity.toxicity_scores(docs, known, known.columns[1:])
+
+
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -96,3 +115,16 @@ SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) A
 )
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query("op10_byte_bpe")
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.load_ranks(os.path.join(TOKENIZERS, "byte_bpe_multi_50k.tiktoken"))
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # beside the package; it builds on this module
+
+    return corpus_pipeline.run(spark, sf_dir)
