@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from .plans.catalogue import Answer, list_metrics, list_questions, run_metric, run_sql
 from .plans.runs import FAILED
@@ -20,9 +20,19 @@ def _session() -> SparkSession:
     return builder.getOrCreate()
 
 
-def _show(answer: Answer) -> None:
+def _print(rows: DataFrame) -> None:
+    """Every row, tab-separated, one partition at a time."""
+    print("\t".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
+def _show(answer: Answer, to: str | None) -> None:
     print(f"-- source: {answer.source}\n{answer.sql}\n")
-    answer.rows.show(200, truncate=False)
+    if to:
+        answer.rows.write.parquet(to)
+    else:
+        _print(answer.rows)
     if answer.run is not None:
         answer.run.show(truncate=False, vertical=True)
 
@@ -42,6 +52,8 @@ def main(argv: list[str] | None = None) -> int:
     sql = commands.add_parser("sql", help="run a read-only statement over the warehouse")
     sql.add_argument("statement")
     sql.add_argument("--out", required=True)
+    for command in (ask, sql):
+        command.add_argument("--to", metavar="PATH", help="write all rows there as Parquet instead of printing them")
     args = parser.parse_args(argv)
 
     spark = _session()
@@ -50,14 +62,14 @@ def main(argv: list[str] | None = None) -> int:
         record.frame(spark).show(truncate=False, vertical=True)
         return int(record.status == FAILED)
     if args.command == "list":
-        list_metrics(spark).show(truncate=False, vertical=True)
-        list_questions(spark).show(truncate=False)
+        _print(list_metrics(spark))
+        _print(list_questions(spark))
         return 0
     open_warehouse(spark, args.out)
     if args.command == "ask":
-        _show(run_metric(spark, args.question, **dict(p.split("=", 1) for p in args.param)))
+        _show(run_metric(spark, args.question, **dict(p.split("=", 1) for p in args.param)), args.to)
     else:
-        _show(run_sql(spark, args.statement))
+        _show(run_sql(spark, args.statement), args.to)
     return 0
 
 

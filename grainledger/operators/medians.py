@@ -1,4 +1,4 @@
-"""Exact medians that no group can outgrow."""
+"""Exact medians without holding a group's values in memory."""
 
 from __future__ import annotations
 
@@ -21,10 +21,14 @@ def median_small_domain(df: DataFrame, keys: Sequence[str], value: str, out: str
     )
 
 
-def _cell(value: Column) -> Column:
-    """A monotone coarse cell: about 140,000 cells over fifteen decimal orders of magnitude."""
-    v = value.cast("double")
-    return F.floor(F.signum(v) * F.log1p(F.abs(v)) * F.lit(float(_CELLS_PER_E)))
+def _cell(above: Column) -> Column:
+    """A monotone coarse cell of the distance to the group's least value; the last ones for infinity and NaN."""
+    last = 2**62
+    return (
+        F.when(F.isnan(above), F.lit(last + 1))
+        .when(above == float("inf"), F.lit(last))
+        .otherwise(F.floor(F.log1p(above) * F.lit(float(_CELLS_PER_E))))
+    )
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:
@@ -32,16 +36,22 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
 
     Spark's own `median` keeps a group's distinct values in one task's memory. Here the values are
     counted with map-side combining, the counts are summed into coarse ordered cells, and only the
-    one or two cells that hold the middle ranks are ranked value by value.
+    one or two cells that hold the middle ranks are ranked value by value. Cells widen with the distance
+    to the group's least value (by 1/4096 of it), so a group whose distinct values crowd into such a
+    share of their range still ranks them in one task, with spilling. NaN is the largest value.
     """
     group = list(keys) or ["_all"]
     src = df if keys else df.withColumn("_all", F.lit(1))
-    counts = (
-        src.where(F.col(value).isNotNull())
-        .groupBy(*group, F.col(value).cast("double").alias("_v"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_cell", _cell(F.col("_v")))
-    )
+    number = F.col(value).cast("double")
+    finite = F.when(F.abs(number) < float("inf"), number)  # NaN is above infinity
+    src = src.where(F.col(value).isNotNull())
+    least = src.groupBy(*[F.col(k).alias(f"_l_{k}") for k in group]).agg(F.min(finite).alias("_least"))
+    counts = src.groupBy(*group, number.alias("_v")).agg(F.count("*").alias("_n"))
+    same = F.lit(True)
+    for k in group:
+        same = same & F.col(k).eqNullSafe(F.col(f"_l_{k}"))
+    above = F.when(F.col("_v") == float("-inf"), F.lit(-0.5)).otherwise(F.col("_v") - F.coalesce("_least", F.lit(0.0)))
+    counts = counts.join(least, same).select(*group, "_v", "_n", _cell(above).alias("_cell"))
     whole = Window.partitionBy(*group)
     upward = whole.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cells = (
@@ -72,7 +82,8 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
         F.min(F.when(F.col("_rank") >= F.col("_lo"), F.col("_v"))).alias("_a"),
         F.min(F.when(F.col("_rank") >= F.col("_hi"), F.col("_v"))).alias("_b"),
     )
-    return middle.select(*keys, (F.col("_a") + (F.col("_b") - F.col("_a")) * F.lit(0.5)).alias(out))
+    between = F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * F.lit(0.5))
+    return middle.select(*keys, between.alias(out))
 
 
 def with_exact_median(summary: DataFrame, df: DataFrame, keys: Sequence[str], value: str,

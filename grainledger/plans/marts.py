@@ -47,6 +47,15 @@ def dim_date(fiscal_calendar: DataFrame) -> DataFrame:
     )
 
 
+def single_factors(uom_conversion: DataFrame) -> DataFrame:
+    """(sku_code, eaches_per_case), one row per code. A repeated code is an error: it would multiply sales."""
+    counted = uom_conversion.where("sku_code IS NOT NULL").groupBy("sku_code").agg(
+        F.count("*").alias("n"), F.min("eaches_per_case").alias("eaches_per_case")
+    )
+    repeated = F.raise_error(F.concat(F.lit("uom_conversion repeats sku_code "), "sku_code")).cast("int")
+    return counted.select("sku_code", F.when(F.col("n") > 1, repeated).otherwise(F.col("eaches_per_case")).alias("eaches_per_case"))
+
+
 def fct_pos_line(pos: DataFrame, outlets: DataFrame, products: DataFrame, uom_conversion: DataFrame) -> DataFrame:
     """Canonical lines with the outlet as of the sale, product attributes and eaches.
 
@@ -54,7 +63,7 @@ def fct_pos_line(pos: DataFrame, outlets: DataFrame, products: DataFrame, uom_co
     product key once.
     """
     master = products.select("sku_code", "product_name", "category", "case_pack")
-    factors = uom_conversion.select("sku_code", "eaches_per_case")
+    factors = single_factors(uom_conversion)
     pack = lookup_side(master.join(factors, "sku_code", "full"), master, factors)
     with_outlet = asof_join(
         pos,

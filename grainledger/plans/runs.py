@@ -40,22 +40,21 @@ def utc_now() -> datetime:
 
 
 def gate_frame(inventory: DataFrame, allow_degraded: bool) -> DataFrame:
-    """One row: files, unreadable files, the status they lead to, and the partitions concerned."""
+    """One row: files, unreadable files, and the status they lead to. Their partitions are in `affected_partitions`."""
     bad = F.col("read_status") != "OK"
     tolerated = F.lit(DEGRADED if allow_degraded else FAILED)
     return inventory.agg(
         F.count("*").alias("files"),
         F.count_if(bad).alias("bad_file_count"),
-        F.array_join(F.array_sort(F.collect_set(F.when(bad, F.col("partition")))), ", ").alias("bad_partitions"),
     ).withColumn("status", F.when(F.col("bad_file_count") == 0, F.lit(SUCCESS)).otherwise(tolerated))
 
 
-def gate(inventory: DataFrame, allow_degraded: bool = False) -> tuple[str, int, str]:
-    """(status, unreadable files, their partitions). One aggregate row comes to the driver."""
+def gate(inventory: DataFrame, allow_degraded: bool = False) -> tuple[str, int]:
+    """(status, unreadable files). One aggregate row comes to the driver."""
     row = gate_frame(inventory, allow_degraded).first()
     if row.files == 0:
         raise FileNotFoundError("no Parquet file found in any feed folder")
-    return row.status, row.bad_file_count, row.bad_partitions
+    return row.status, row.bad_file_count
 
 
 def run_summary(inventory: DataFrame, delivered: DataFrame, canonical: DataFrame, grid: DataFrame,
@@ -71,7 +70,6 @@ def run_summary(inventory: DataFrame, delivered: DataFrame, canonical: DataFrame
         canonical.agg(F.count("*").alias("n")).scalar().alias("canonical_row_count"),
         "bad_file_count",
         (F.col("bad_file_count") + F.when(holes > 0, 1).otherwise(0)).alias("warning_count"),
-        "bad_partitions",
     ).withColumn("duplicate_count", F.col("source_row_count") - F.col("canonical_row_count"))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.feeds import FEEDS, REFERENCES, read_manifest, read_reference, scan_feed
-from ..sources.inventory import affected_partitions, file_inventory
+from ..sources.inventory import affected_partitions, cut_off, file_inventory
 from ..sources.tables import append_rows, read_table, try_read, write_table
 from . import marts, staging
 from .runs import DEGRADED, FAILED, RunRecord, gate, latest_run, utc_now
@@ -41,7 +41,6 @@ TABLES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "dim_product": (staging.dim_product, ("raw_product",)),
     "dq_uom_vs_case_pack": (staging.dq_uom_vs_case_pack, ("dim_product", "uom_conversion")),
     "stg_orders": (staging.stg_orders, ("raw_orders",)),
-    "dq_order_source_profile": (staging.dq_order_source_profile, ("stg_orders",)),
     "dim_date": (marts.dim_date, ("fiscal_calendar",)),
     "fct_pos_line": (marts.fct_pos_line, ("stg_pos", "dim_outlet_scd2", "dim_product", "uom_conversion")),
     "fct_sales_daily": (marts.fct_sales_daily, ("fct_pos_line", "dim_date")),
@@ -57,6 +56,7 @@ TABLES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "dq_daily_telemetry_volume": (marts.dq_daily_telemetry_volume, ("raw_telemetry",)),
     "fct_dispatch_on_request": (marts.fct_dispatch_on_request, ("stg_orders", "stg_wms")),
     "fct_order_source": (marts.fct_order_source, ("stg_orders",)),
+    "dq_order_source_profile": (staging.dq_order_source_profile, ("fct_order_source",)),
 }
 
 # The questions about a quarter, a month or a week read this table: laid out by day, they read only
@@ -109,13 +109,15 @@ def build_warehouse(spark: SparkSession, landing: str, out: str, allow_degraded:
         return run
 
     base = landing.rstrip("/")
-    save("file_inventory", file_inventory(spark, {f.name: f"{base}/{f.path}" for f in FEEDS.values()}))
-    run.status, run.bad_file_count, bad_partitions = gate(made["file_inventory"], allow_degraded)
+    before = cut_off()
+    feeds = {f.name: f"{base}/{f.path}" for f in FEEDS.values()}
+    save("file_inventory", file_inventory(spark, feeds, before))
+    run.status, run.bad_file_count = gate(made["file_inventory"], allow_degraded)
     save("ingest_manifest", read_manifest(spark, landing))
     if run.status == FAILED:
         run.warning_count = run.bad_file_count
         run.message = (
-            f"{run.bad_file_count} unreadable file(s) in {bad_partitions}; nothing was published. "
+            f"{run.bad_file_count} unreadable file(s); nothing was published. "
             "See file_inventory, or allow degraded input to go on without them."
         )
         return finish()
@@ -123,7 +125,8 @@ def build_warehouse(spark: SparkSession, landing: str, out: str, allow_degraded:
     for name in REFERENCES:
         save(name, read_reference(spark, landing, name))
     for table, feed in RAW_TABLES.items():
-        made[table] = scan_feed(spark, landing, FEEDS[feed], made["file_inventory"])
+        made[table] = scan_feed(spark, landing, FEEDS[feed], made["file_inventory"], before)
+        check_scan(made[table], feed, made["file_inventory"])
     for name, (builder, reads) in TABLES.items():
         save(name, builder(*[made[r] for r in reads]))
 
@@ -135,12 +138,19 @@ def build_warehouse(spark: SparkSession, landing: str, out: str, allow_degraded:
     run.warning_count = run.bad_file_count + int(holes)
     if run.status == DEGRADED:
         run.message = (
-            f"built without {run.bad_file_count} unreadable file(s) in {bad_partitions}; "
-            "see dq_affected_partitions"
+            f"built without {run.bad_file_count} unreadable file(s); see dq_affected_partitions"
         )
     return finish()
 
 
+def check_scan(scanned: DataFrame, feed: str, inventory: DataFrame) -> None:
+    """The scan must hold the rows that the gate has counted, from footers on both sides."""
+    ok = inventory.where((F.col("feed") == feed) & (F.col("read_status") == "OK"))
+    expected, found = ok.agg(F.sum("actual_rows")).first()[0], scanned.count()
+    if expected != found:
+        raise RuntimeError(f"{feed}: the inventory counted {expected} rows and the scan found {found}")
+
+
 def open_warehouse(spark: SparkSession, out: str) -> DataFrame:
     """Register the latest run's tables as temporary views; returns its audit record."""
     base = out.rstrip("/")
@@ -149,11 +159,13 @@ def open_warehouse(spark: SparkSession, out: str) -> DataFrame:
         raise FileNotFoundError(f"no warehouse at {out}: build it first")
     latest = latest_run(log)
     latest.createOrReplaceTempView(RUN_LOG)
-    run_id = latest.select("run_id").first().run_id
+    run_id, published = latest.select("run_id").first().run_id, is_published(latest)
     for name in ("file_inventory", "ingest_manifest", *REFERENCES, *TABLES):
         table = try_read(spark, f"{base}/{run_id}/{name}")
         if table is not None:
             table.createOrReplaceTempView(name)
+        elif published or name in ("file_inventory", "ingest_manifest"):
+            raise FileNotFoundError(f"run {run_id} is in the log, but its table {name} is missing")
         else:
             spark.catalog.dropTempView(name)
     return latest

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -41,12 +41,10 @@ def local_session(cores: str = "8", app: str = "grainledger", shuffle_partitions
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh directory path under the shared folder the cluster names for checkpoints."""
+    """A fresh path under the folder that the cluster names for checkpoints; a temporary one only in local mode."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = os.path.join(tempfile.gettempdir(), "grainledger-scratch")
-        spark.conf.set("spark.checkpoint.dir", base)
-    token = spark.range(1).selectExpr("uuid() AS u").first().u
-    return f"{base.rstrip('/')}/{name}-{token}"
+        base = tempfile.mkdtemp(prefix="run-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

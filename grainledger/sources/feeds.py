@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .inventory import path_exists
+from .inventory import landed, path_exists
 
 
 @dataclass(frozen=True)
@@ -117,12 +117,13 @@ def scan_files(spark: SparkSession, files: Sequence[str], root: str | None = Non
     return reader.parquet(*files)
 
 
-def scan_feed(spark: SparkSession, landing: str, feed: Feed, inventory: DataFrame) -> DataFrame:
+def scan_feed(spark: SparkSession, landing: str, feed: Feed, inventory: DataFrame, before: str | None = None) -> DataFrame:
     """Scan every readable file of a feed, all file versions under one declared schema.
 
     Only the unreadable paths come to the driver. They become a filter on the file path, which
     Spark applies while it lists the folder, so the files are never opened, the others are not
-    enumerated in the plan, and partition filters keep pruning.
+    enumerated in the plan, and partition filters keep pruning. `before` is the cut-off the
+    inventory was taken with: files that landed since then were not checked and are left out.
     """
     mine = inventory.where(F.col("feed") == feed.name)
     if not mine.where("read_status = 'OK'").take(1):
@@ -131,7 +132,7 @@ def scan_feed(spark: SparkSession, landing: str, feed: Feed, inventory: DataFram
     df = (
         spark.read.schema(feed.schema)
         .option("recursiveFileLookup", False)
-        .option("pathGlobFilter", "*.parquet")
+        .options(pathGlobFilter="*.parquet", **landed(before))
         .parquet(f"{landing.rstrip('/')}/{feed.path}")
     )
     return df.where(~F.col("_metadata.file_path").isin(bad)) if bad else df

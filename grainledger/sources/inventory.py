@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from datetime import datetime, timedelta, timezone
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -15,14 +16,26 @@ INVENTORY_COLUMNS = (
 _ERROR_CHARS = 500
 
 
+def landed(before: str | None) -> dict[str, str]:
+    """Read options that leave out files modified at the given time (UTC) or later."""
+    return {"modifiedBefore": before, "timeZone": "UTC"} if before else {}
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         return bool(spark.read.format("binaryFile").load(path).select("path").take(1))
-    except AnalysisException:
-        return False
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
+def cut_off() -> str:
+    """A time, for `modifiedBefore`, that covers all files landed so far. Later ones belong to the next run."""
+    return (datetime.now(timezone.utc) + timedelta(seconds=1)).strftime("%Y-%m-%dT%H:%M:%S")
 
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame | None:
+def list_files(spark: SparkSession, folder: str, before: str | None = None) -> DataFrame | None:
     """(path, bytes) of the Parquet files below a folder; None when the folder does not exist.
 
     Spark lists large folders on the executors. File contents are pruned from this read.
@@ -30,11 +43,13 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame | None:
     try:
         files = (
             spark.read.format("binaryFile")
-            .options(recursiveFileLookup=True, pathGlobFilter="*.parquet")
+            .options(recursiveFileLookup=True, pathGlobFilter="*.parquet", **landed(before))
             .load(folder)
         )
-    except AnalysisException:
-        return None
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("bytes"))
 
 
@@ -44,15 +59,21 @@ def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import pyarrow.parquet as pq
     from pyarrow import fs
 
+    stores: dict[tuple[str, str], fs.FileSystem] = {}
     for batch in batches:
         rows, status, errors = [], [], []
         for uri in batch["path"]:
             try:
-                if urlparse(uri).scheme in ("", "file"):
-                    source, where = fs.LocalFileSystem(), unquote(urlparse(uri).path)
+                at = urlparse(uri)
+                store = (at.scheme, at.netloc)
+                if at.scheme in ("", "file"):
+                    stores.setdefault(store, fs.LocalFileSystem())
+                    where = unquote(at.path)
+                elif store not in stores:
+                    stores[store], where = fs.FileSystem.from_uri(uri)
                 else:
-                    source, where = fs.FileSystem.from_uri(uri)
-                with source.open_input_file(where) as handle:
+                    where = at.netloc + at.path if at.scheme != "hdfs" else at.path
+                with stores[store].open_input_file(where) as handle:
                     rows.append(pq.read_metadata(handle).num_rows)
                 status.append("OK")
                 errors.append(None)
@@ -73,11 +94,11 @@ def probe_footers(files: DataFrame) -> DataFrame:
     return files.repartition(tasks, "path").mapInPandas(_probe, INVENTORY_COLUMNS)
 
 
-def file_inventory(spark: SparkSession, feeds: Mapping[str, str]) -> DataFrame:
+def file_inventory(spark: SparkSession, feeds: Mapping[str, str], before: str | None = None) -> DataFrame:
     """Inventory of the Parquet files of each feed (name → folder). Absent folders are skipped."""
     found: DataFrame | None = None
     for name, folder in feeds.items():
-        files = list_files(spark, folder)
+        files = list_files(spark, folder, before)
         if files is None:
             continue
         files = files.select(

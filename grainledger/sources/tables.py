@@ -13,6 +13,8 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> No
         df.write.mode("overwrite").parquet(path)
     else:
         df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        if read_table(df.sparkSession, path, df).isEmpty():  # no partition, no file: keep the columns at least
+            df.limit(0).write.mode("overwrite").parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
@@ -25,7 +27,10 @@ def append_rows(df: DataFrame, path: str) -> None:
 
 
 def try_read(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None where nothing was written. Any other failure to read it is raised."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise

@@ -39,8 +39,8 @@ from grainledger.plans.runs import gate_frame, run_summary
 from grainledger.plans.staging import FAHRENHEIT_VENDORS, pos_lines
 from grainledger.plans.warehouse import register
 from grainledger.session import scratch_dir
-from grainledger.sources import affected_partitions, file_inventory, scan_files
-from grainledger.sources.feeds import read_csv
+from grainledger.sources import affected_partitions, file_inventory, scan_feed, scan_files
+from grainledger.sources.feeds import Feed, read_csv
 
 from .feeds import table, warehouse_table, warehouse_tables
 from .oracle import money, sql, week
@@ -80,7 +80,8 @@ def on_tables(name: str, stored: tuple[str, ...], check: str | None, fn: Callabl
 
 @key("scan_feed", "SELECT event_type, CAST(ts AS DATE) AS dt, count(*) AS n, " + money("value") + " AS total FROM events GROUP BY ALL")
 def _(spark, d):
-    scanned = scan_files(spark, [f"{d}/events.parquet"])
+    feed = Feed("events", "events.parquet", "landed", "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE")
+    scanned = scan_feed(spark, d, feed, file_inventory(spark, {"events": f"{d}/events.parquet"}))
     return scanned.groupBy("event_type", F.col("ts").cast("date").alias("dt")).agg(
         F.count("*").alias("n"), exact_sum("value").alias("total")
     )
@@ -121,21 +122,22 @@ def _(spark, d):
 @key(
     "publish_gate_status",
     "SELECT count(*) AS files, count(*) FILTER (read_status <> 'OK') AS bad_file_count,"
-    " coalesce(string_agg(DISTINCT part, ', ' ORDER BY part) FILTER (read_status <> 'OK'), '') AS bad_partitions,"
     " CASE WHEN count(*) FILTER (read_status <> 'OK') = 0 THEN 'SUCCESS' ELSE 'FAILED' END AS status FROM file_inventory",
 )
 def _(spark, d):
     return gate_frame(warehouse_table(spark, d, "file_inventory"), allow_degraded=False)
 
 
-@key(
-    "run_summary",
+RUN_SUMMARY = (
     "SELECT 'DEGRADED' AS status, (SELECT count(*) FROM raw_pos) AS source_row_count, (SELECT count(*) FROM pos_line) AS canonical_row_count,"
     " count(*) FILTER (read_status <> 'OK') AS bad_file_count,"
     " count(*) FILTER (read_status <> 'OK') + CASE WHEN EXISTS (FROM gateway_grid WHERE is_missing) THEN 1 ELSE 0 END AS warning_count,"
-    " string_agg(DISTINCT part, ', ' ORDER BY part) FILTER (read_status <> 'OK') AS bad_partitions,"
-    " (SELECT count(*) FROM raw_pos) - (SELECT count(*) FROM pos_line) AS duplicate_count FROM file_inventory",
+    " (SELECT count(*) FROM raw_pos) - (SELECT count(*) FROM pos_line) AS duplicate_count FROM file_inventory"
 )
+
+
+@key("pipeline_run_summary", RUN_SUMMARY)
+@key("run_summary", RUN_SUMMARY)
 def _(spark, d):
     t = warehouse_tables(spark, d, "file_inventory", "raw_pos", "fct_pos_line", "dq_gateway_date")
     return run_summary(t["file_inventory"], t["raw_pos"], t["fct_pos_line"], t["dq_gateway_date"])
@@ -758,6 +760,12 @@ on_tables(
 )
 on_tables(
     "check_unique_key",
+    ("fct_pos_line",),
+    "SELECT txn_id, txn_line_no, count(*) AS n FROM pos_line GROUP BY 1, 2 HAVING n > 1",
+    lambda lines: checks.duplicate_keys(lines, ["txn_id", "txn_line_no"]),
+)
+on_tables(
+    "raw_duplicate_keys",
     ("raw_pos",),
     "SELECT txn_id, txn_line_no, count(*) AS n FROM raw_pos GROUP BY 1, 2 HAVING n > 1",
     lambda raw: checks.duplicate_keys(raw, ["txn_id", "txn_line_no"]),

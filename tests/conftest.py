@@ -14,8 +14,6 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("8", app="tests", shuffle_partitions="4", memory="6g")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
     yield session
     session.stop()
 

@@ -32,7 +32,7 @@ def truncate(path: str) -> None:
     with open(path, "rb") as handle:
         data = handle.read()
     with open(path, "wb") as handle:
-        handle.write(data[: int(len(data) * 0.72)])
+        handle.write(data[:-8])  # without the footer length and the closing mark
 
 
 def _pos(day: str, lines: list[tuple]) -> dict:

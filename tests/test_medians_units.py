@@ -86,3 +86,14 @@ def test_unit_agreement_counts(frame):
     ref = frame("sku STRING, per INT", ("a", 6), ("b", 12), ("c", 3), ("e", None))
     row = unit_agreement(dim, ref, "sku", "pack", "per").first()
     assert tuple(row) == (5, 4, 1, 1, 2)
+
+
+@pytest.mark.parametrize(
+    "values",
+    [[1.0, 5.0, float("nan")], [1.0, 5.0, 7.0, float("nan"), float("nan")], [float("-inf"), 2.0, float("inf")],
+     [float("-inf"), -3.0, -2.0, -1.0], [float("inf")] * 3 + [0.0], [float("nan")], [1.7e9 + i % 2600 for i in range(6000)]],
+)
+def test_exact_median_of_odd_values(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE").repartition(3)
+    got, want = exact_median(df, [], "v").first()[0], df.agg({"v": "median"}).first()[0]
+    assert got == want or (got != got and want != want)

@@ -1,13 +1,17 @@
 import datetime as dt
 import os
+import shutil
+import time
 
 import pytest
 
 from grainledger.plans import checks
 from grainledger.plans.catalogue import METRICS, QUESTIONS, list_metrics, list_questions, run_metric, run_sql
 from grainledger.plans.runs import DEGRADED, FAILED, SUCCESS, gate
-from grainledger.plans.warehouse import TABLES, build_warehouse, is_published, open_warehouse
+from grainledger.plans.warehouse import TABLES, build_warehouse, check_scan, is_published, open_warehouse
 from grainledger.sources import FEEDS, affected_partitions, file_inventory, read_manifest, read_reference, scan_feed, scan_files
+from grainledger.sources.inventory import cut_off, path_exists
+from grainledger.sources.tables import try_read, write_table
 from landing import truncate, write_landing
 
 
@@ -35,7 +39,7 @@ def test_inventory_registers_the_truncated_file(spark, scratch):
     assert [(r.feed, r.partition) for r in bad] == [("reefer_telemetry", "dt=2025-10-01")]
     assert bad[0].actual_rows is None and 0 < len(bad[0].error) <= 500 and bad[0].bytes > 0
     assert inventory.where("read_status = 'OK'").count() == 4 + 4 + 1 + 1 + 1 + 1
-    assert gate(inventory) == (FAILED, 1, "dt=2025-10-01")
+    assert gate(inventory) == (FAILED, 1)
     assert gate(inventory, allow_degraded=True)[0] == DEGRADED
 
 
@@ -94,6 +98,44 @@ def test_feed_with_only_bad_files_is_an_error(spark, scratch):
         scan_feed(spark, scratch, FEEDS["wms_scan_events"], inventory)
 
 
+def test_a_late_file_belongs_to_the_next_run(spark, scratch):
+    write_landing(scratch, corrupt=False)
+    before = cut_off()
+    inventory = file_inventory(spark, folders(scratch), before).cache()
+    rows = inventory.where("feed = 'reefer_telemetry'").agg({"actual_rows": "sum"}).first()[0]
+    source = f"{scratch}/raw/reefer_telemetry/dt=2025-09-30/part-00000.parquet"
+    late = f"{scratch}/raw/reefer_telemetry/dt=2025-09-30/late.parquet"
+    shutil.copy(source, late)
+    os.utime(late, (time.time() + 60, time.time() + 60))
+    scanned = scan_feed(spark, scratch, FEEDS["reefer_telemetry"], inventory, before)
+    assert scanned.count() == rows
+    check_scan(scanned, "reefer_telemetry", inventory)
+    with pytest.raises(RuntimeError, match="reefer_telemetry"):
+        check_scan(scan_feed(spark, scratch, FEEDS["reefer_telemetry"], inventory), "reefer_telemetry", inventory)
+
+
+def test_repeated_factors_are_refused(spark, scratch):
+    write_landing(scratch, corrupt=False)
+    with open(f"{scratch}/reference/uom_conversion.csv") as handle:
+        last = handle.readlines()[-1]
+    with open(f"{scratch}/reference/uom_conversion.csv", "a") as handle:
+        handle.write(last)
+    with pytest.raises(Exception, match="uom_conversion repeats sku_code"):
+        build_warehouse(spark, scratch, f"{scratch}/warehouse")
+
+
+def test_missing_is_told_from_unreadable(spark, scratch):
+    assert try_read(spark, f"{scratch}/nothing") is None and not path_exists(spark, f"{scratch}/nothing")
+    os.makedirs(f"{scratch}/broken")
+    with open(f"{scratch}/broken/part-0.parquet", "w") as handle:
+        handle.write("not parquet")
+    with pytest.raises(Exception):
+        try_read(spark, f"{scratch}/broken")
+    empty = spark.createDataFrame([], "x INT, day DATE")
+    write_table(empty, f"{scratch}/empty", "day")
+    assert try_read(spark, f"{scratch}/empty").count() == 0
+
+
 def test_references_and_manifest(spark, scratch):
     write_landing(scratch, corrupt=False, manifest=False)
     assert read_manifest(spark, scratch).count() == 0
@@ -139,7 +181,7 @@ def test_degraded_run_record(degraded):
     run = degraded[2]
     assert (run.status, run.source_row_count, run.canonical_row_count, run.duplicate_count) == (DEGRADED, 8, 6, 2)
     assert (run.bad_file_count, run.warning_count) == (1, 2)
-    assert "dt=2025-10-01" in run.message and run.finished_at >= run.started_at
+    assert "dq_affected_partitions" in run.message and run.finished_at >= run.started_at
 
 
 def test_all_tables_are_written(spark, views):
@@ -231,8 +273,42 @@ def test_asking_wrongly(spark, views):
 def test_ad_hoc_sql(spark, views):
     answer = run_sql(spark, "SELECT count(*) AS n FROM fct_pos_line")
     assert answer.rows.first().n == 6 and answer.run.first().status == DEGRADED
+    assert run_sql(spark, "WITH a AS (SELECT 1 AS x) SELECT x FROM a").rows.first().x == 1
+    assert run_sql(spark, "FROM fct_pos_line |> AGGREGATE count(*) AS n;").rows.first().n == 6
+    assert run_sql(spark, "SHOW VIEWS").rows.count() > 0
+
+
+@pytest.mark.parametrize(
+    "statement",
+    [
+        "DROP VIEW fct_pos_line", "CREATE TABLE t USING parquet AS SELECT 1 AS x", "CREATE VIEW v AS SELECT 1 AS x",
+        "WITH a AS (SELECT 1 AS x) INSERT OVERWRITE DIRECTORY '{0}' USING parquet SELECT x FROM a",
+        "FROM (SELECT 1 AS x) t INSERT OVERWRITE DIRECTORY '{0}' USING parquet SELECT x",
+        "SELECT 1 AS x) t INSERT OVERWRITE DIRECTORY '{0}' USING parquet SELECT (1",
+        "SET spark.sql.ansi.enabled=false",
+    ],
+)
+def test_ad_hoc_sql_refuses_to_write(spark, views, scratch, statement):
+    target = f"{scratch}/out"
     with pytest.raises(PermissionError):
-        run_sql(spark, "DROP VIEW fct_pos_line")
+        run_sql(spark, statement.format(target))
+    assert not os.path.exists(target) and spark.table("fct_pos_line").count() == 6
+
+
+def test_empty_statement(spark, views):
+    for text in ("", " ; "):
+        with pytest.raises(ValueError):
+            run_sql(spark, text)
+
+
+def test_command_line_prints_every_row(spark, scratch, capsys):
+    from grainledger.__main__ import _show
+    from grainledger.plans.catalogue import Answer
+
+    _show(Answer("q", "s", spark.range(1234).toDF("n"), None), None)
+    assert len(capsys.readouterr().out.splitlines()) == 1234 + 4
+    _show(Answer("q", "s", spark.range(1234).toDF("n"), None), f"{scratch}/rows")
+    assert spark.read.parquet(f"{scratch}/rows").count() == 1234
 
 
 def test_catalogue_is_data(spark):
