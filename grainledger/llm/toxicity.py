@@ -19,8 +19,8 @@ from .textscan import WORD, mix, slices, span_hashes, spans, text_bytes
 BITS = 18
 #: First bytes of a word that make features of their own, so that other endings of a stem are known.
 STEMS = (4, 5)
-#: Features that the models see at most, picked by how surely they go with some category over all labelled rows.
-PICKED, SURE = 4096, 4.0
+#: Features that the models see at most for each category, picked by how surely they go with it over all labelled rows.
+PICKED, SURE = 256, 15.0
 #: Labelled rows, with and without any category, that the models are fitted on at most (drawn by a hash of the id).
 FIT_ROWS = 4000
 #: Parts for out-of-fold predictions.
@@ -95,17 +95,28 @@ def category_counts(texts: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[:n], out[n]
 
 
+def likelihood_ratio(own: np.ndarray, rest: np.ndarray, n_own: float, n_rest: float) -> np.ndarray:
+    """2 ln of the likelihood ratio (G) of the 2 x 2 tables: texts with and without a category, with and without a feature."""
+    total, every = own + rest, n_own + n_rest
+    out = np.zeros(len(own))
+    for seen, expected in (
+        (own, total * n_own / every), (rest, total * n_rest / every),
+        (n_own - own, (every - total) * n_own / every), (n_rest - rest, (every - total) * n_rest / every),
+    ):
+        out += np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0.0)
+    return 2 * out
+
+
 def pick(with_it: np.ndarray, every: np.ndarray) -> np.ndarray:
-    """The features whose log odds between texts with and without some category are surest, by their z score."""
-    best = np.zeros(with_it.shape[1] - 1)
+    """For each category the features that go with it most surely: those with the largest G, from SURE on."""
+    found = [np.zeros(0, np.int64)]
     for own in with_it:
         rest = every - own
-        if not own[-1] or not rest[-1]:
-            continue
-        odds = np.log((own[:-1] + 0.5) / (own[-1] + 1)) - np.log((rest[:-1] + 0.5) / (rest[-1] + 1))
-        best = np.maximum(best, np.abs(odds) / np.sqrt(1 / (own[:-1] + 0.5) + 1 / (rest[:-1] + 0.5)))
-    top = np.argsort(-best, kind="stable")[:PICKED]
-    return np.sort(top[best[top] >= SURE])
+        if own[-1] and rest[-1]:
+            sure = likelihood_ratio(own[:-1], rest[:-1], own[-1], rest[-1])
+            top = np.argsort(-sure, kind="stable")[:PICKED]
+            found.append(top[sure[top] >= SURE])
+    return np.unique(np.concatenate(found))
 
 
 def fit_chain(rows: Rows, truth: np.ndarray, picked: np.ndarray) -> Chain:
