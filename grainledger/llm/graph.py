@@ -73,6 +73,6 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.where("a <> b").distinct()
         # every edge now points from the larger node a to the smaller b
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array("a", "b")).alias("b"), F.col("m").alias("a"))
+        small = large.join(low, "a").select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b"))
         now = settle(small.where("a <> b").distinct(), "edges")
     return now.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))

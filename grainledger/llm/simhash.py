@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .graph import components, forest
 from .storage import fresh, settle
@@ -215,7 +216,7 @@ def _balls(most: int):
 
 
 def links(fps: DataFrame, most: int = MAX_BITS) -> DataFrame:
-    """(a, b) pairs of distinct fingerprints within `most` bits (at most 3) that connect all such pairs.
+    """(a, b) pairs of fingerprints that connect just what all pairs within `most` bits (at most 3) connect.
 
     Anchors with more than GROUP fingerprints are not compared pair by pair: two fingerprints within 3 bits have a
     value within 1 bit of the one and 2 bits of the other, so grouping the values around them links the same ones in
@@ -271,18 +272,18 @@ def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, most: int = MAX_BITS)
     odd = ids.where("first AND (n > 1 OR doc_id IS NULL)").select(F.col("doc_id").alias("odd_id"))
     if odd.isEmpty():
         return kept
-    mark, root = fresh(docs, "fp_of_text", "root_of_text")
+    mark, same, root, id_of = fresh(docs, "fp_of_text", "fp_of_group", "root_of_group", "id_of_group")
     named = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    named = named.select(F.col("doc_id").alias("odd_id"), F.col("fp").alias(mark), F.col("root").alias(root)).distinct()
+    named = named.select(F.col("doc_id").alias(id_of), F.col("fp").alias(same), F.col("root").alias(root)).distinct()
     rows = tag(docs.join(odd, docs.doc_id.eqNullSafe(odd.odd_id), "left_semi"), mark, words)
-    rows = rows.join(named, rows.doc_id.eqNullSafe(named.odd_id) & (rows[mark] == named[mark]))
-    return kept.unionByName(rows.dropDuplicates([root]).select(*(docs[c] for c in docs.columns)))
+    rows = rows.join(named, F.col("doc_id").eqNullSafe(F.col(id_of)) & (F.col(mark) == F.col(same)))
+    return kept.unionByName(rows.dropDuplicates([root]).select(docs.columns))
 
 
 def tag(docs: DataFrame, column: str, words: int = SHINGLE_WORDS) -> DataFrame:
     """docs with one more column, the fingerprint as a signed long."""
     at = docs.columns.index("text")
-    schema = docs.schema.add(column, "long")
+    schema = T.StructType([*docs.schema.fields, T.StructField(column, T.LongType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

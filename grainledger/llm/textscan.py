@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text handled at once; numpy's working arrays are some 30 times this.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}

@@ -61,7 +61,6 @@ def test_links_connect_all_close_fingerprints(spark, monkeypatch, group, most):
     signed = np.array(fps, np.uint64).view(np.int64).tolist()
     rows = spark.createDataFrame([(f,) for f in set(signed)], "fp long")
     links = simhash.links(rows, most).where("b IS NOT NULL")
-    assert all(((a ^ b) % 2**64).bit_count() <= most for a, b in links.collect())
     root = {r.node: r.root for r in graph.components(links).collect()}
     groups = {}
     for f in set(signed):
