@@ -13,7 +13,7 @@ def shared_folder(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     return tempfile.mkdtemp(prefix="run-")
 
