@@ -19,7 +19,7 @@ def _as_list(key: str | Sequence[str]) -> list[str]:
 
 
 def scd2(df: DataFrame, key: str | Sequence[str], ts: str, seq: str, op: str,
-         end: str = OPEN_END) -> DataFrame:
+         end: str = OPEN_END, bucket: str = "HOUR") -> DataFrame:
     """Half-open validity intervals `[valid_from, valid_to)` from an I/U/D stream.
 
     A version ends at the key's next change of any kind, so a delete closes a version and opens
@@ -28,18 +28,19 @@ def scd2(df: DataFrame, key: str | Sequence[str], ts: str, seq: str, op: str,
 
     The next change is looked up in two steps, inside a key's hour and then across the key's hours:
     the second window holds one row per key and hour, so a key that owns a third of the stream is
-    spread over its hours instead of being sorted by one task.
+    spread over its hours instead of being sorted by one task. `bucket` may name a shorter unit
+    (MINUTE, SECOND) for streams whose changes come in bursts.
     """
     keys = _as_list(key)
     dated = df.where(F.col(ts).isNotNull())
     last = latest_per_key(dated, [*keys, ts], [seq], nulls="first").withColumn(
-        "_hour", F.timestamp_diff("HOUR", F.lit(_EPOCH).cast("timestamp_ntz"), F.col(ts))
+        "_bucket", F.timestamp_diff(bucket, F.lit(_EPOCH).cast("timestamp_ntz"), F.col(ts))
     )
-    in_hour = Window.partitionBy(*keys, "_hour").orderBy(ts)
+    in_hour = Window.partitionBy(*keys, "_bucket").orderBy(ts)
     stepped = last.withColumn("_next", F.lead(ts).over(in_hour)).withColumn(
         "_opens", F.first(ts).over(in_hour)
     )
-    across = Window.partitionBy(*keys).orderBy("_hour")
+    across = Window.partitionBy(*keys).orderBy("_bucket")
     inside = stepped.where(F.col("_next").isNotNull())
     hour_ends = stepped.where(F.col("_next").isNull()).withColumn("_next", F.lead("_opens").over(across))
 
@@ -49,7 +50,7 @@ def scd2(df: DataFrame, key: str | Sequence[str], ts: str, seq: str, op: str,
         .withColumn("valid_to", F.coalesce(F.col("_next"), F.lit(end).cast("timestamp_ntz")))
         .withColumnRenamed(ts, "valid_from")
         .where("valid_from < valid_to")
-        .drop("_hour", "_next", "_opens")
+        .drop("_bucket", "_next", "_opens")
     )
 
 

@@ -761,8 +761,11 @@ on_tables(
 on_tables(
     "check_unique_key",
     ("fct_pos_line",),
-    "SELECT txn_id, txn_line_no, count(*) AS n FROM pos_line GROUP BY 1, 2 HAVING n > 1",
-    lambda lines: checks.duplicate_keys(lines, ["txn_id", "txn_line_no"]),
+    "SELECT (SELECT count(*) FROM pos_line) AS lines, count(*) AS repeated_keys"
+    " FROM (SELECT txn_id, txn_line_no FROM pos_line GROUP BY ALL HAVING count(*) > 1)",
+    lambda lines: checks.duplicate_keys(lines, ["txn_id", "txn_line_no"]).agg(F.count("*").alias("repeated_keys")).select(
+        lines.agg(F.count("*").alias("n")).scalar().alias("lines"), "repeated_keys"
+    ),
 )
 on_tables(
     "raw_duplicate_keys",

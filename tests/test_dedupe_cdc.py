@@ -70,6 +70,12 @@ def test_scd2_ties_deletes_and_reopening(frame):
     assert got == [("A", at(0), at(1)), ("A", at(3), END), ("C", at(1), at(2))]
 
 
+def test_scd2_buckets_change_nothing(frame):
+    df = frame("k STRING, t TS, seq BIGINT, op STRING, ch STRING", *CHANGES)
+    rows = [sorted(map(tuple, scd2(df, "k", "t", "seq", "op", bucket=b).collect()), key=repr) for b in ("HOUR", "MINUTE", "SECOND")]
+    assert rows[0] == rows[1] == rows[2]
+
+
 def test_scd2_several_changes_within_one_day(frame):
     df = frame(
         "k STRING, t TS, seq BIGINT, op STRING, ch STRING",
