@@ -23,6 +23,8 @@ ANCHORS, MORE_ANCHORS, RARE = 5, 20, 1e-5
 WALKS, TABLES, PLACES = 12, 8, 4
 #: Items handled in one pass over the documents; more items take more passes.
 BLOCK = 20_000
+#: Text handled at once: walks are made for all windows of it together, so shorter runs cost more steps.
+STRIP_BYTES = 1 << 21
 #: Lengths of items that share walks and sampled places differ by at most this factor.
 BAND = 1.25
 
@@ -130,7 +132,7 @@ def word_counts(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(len(vocabulary) + 1, np.int64)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", STRIP_BYTES):
                 data, offsets = text_bytes(pc.utf8_lower(part.column(0).fill_null("")))
                 starts, ends, _ = spans(data, offsets, WORD)
                 at, hit = _find(vocabulary, span_hashes(data, starts, ends))
@@ -256,7 +258,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDITS) -
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = Items(*shared.value)
             for batch in batches:
-                for part in slices(batch, "text"):
+                for part in slices(batch, "text", STRIP_BYTES):
                     best = matches(part.column(1), items, max_edits)
                     rows = np.array([r for r, _ in best], np.int64)
                     used = np.array([i for _, i in best], np.int64)
@@ -279,7 +281,7 @@ def drop_leaked(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_ED
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = Items(*shared.value)
             for batch in batches:
-                for part in slices(batch, "text"):
+                for part in slices(batch, "text", STRIP_BYTES):
                     clean = np.ones(len(part), bool)
                     clean[[r for r, _ in matches(part.column(at), items, max_edits)]] = False
                     yield part.filter(pa.array(clean))
