@@ -13,11 +13,10 @@ def read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def test_language_models_equal_brute_force(spark, awkward, no_docs, monkeypatch, prose):
-    monkeypatch.setattr(lm_score, "VOCABULARY", 50)
+def test_language_models_equal_brute_force(spark, awkward, no_docs, prose):
     docs = awkward.select("doc_id", "text").union(spark.createDataFrame([(i, prose(i, 40, 60)) for i in range(20, 40)], "doc_id long, text string"))
     target = docs.where("doc_id BETWEEN 20 AND 24").select("text")
-    vocab = lm_score.vocabulary(target, 50)
+    vocab = lm_score.vocabulary(target)
     texts = [(r.doc_id, r.text) for r in docs.collect()]
 
     def ids(text):
