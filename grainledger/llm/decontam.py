@@ -28,13 +28,45 @@ STRIP_BYTES = 1 << 21
 #: Lengths of items that share walks and sampled places differ by at most this factor.
 BAND = 1.25
 
-_BLANK = np.where(SPACE, 32, np.arange(256)).astype(np.uint8)
 _PAD = 0
 
+#: White space of one byte, and the first bytes of that of two and three bytes.
+_BLANK = SPACE.copy()
+_BLANK[28:32] = True
+_LEAD = np.zeros(256, bool)
+_LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+_WIDE = np.array([int.from_bytes(c.encode().ljust(3, b"\0")) for c in "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))])
+
+
+def squeezed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and row offsets of texts in lower case, each run of white space one blank, none at the ends.
+
+    Items and documents both come through here, so a copy with wider gaps or line breaks is the same bytes.
+    """
+    data, offsets = text_bytes(pc.utf8_lower(column.fill_null("")))
+    blank = _BLANK[data]
+    lead = np.flatnonzero(_LEAD[data])
+    padded = np.concatenate([data, np.zeros(2, np.uint8)]).astype(np.int64)
+    two = data[lead] == 0xC2
+    code = (padded[lead] << 16) + (padded[lead + 1] << 8) + np.where(two, 0, padded[lead + 2])
+    wide = np.isin(code, _WIDE)
+    lead, two = lead[wide], two[wide]
+    blank[lead] = blank[lead + 1] = True
+    blank[lead[~two] + 2] = True
+    keep = ~blank
+    keep[1:] |= ~blank[:-1]
+    begin = offsets[:-1][offsets[:-1] < len(data)]
+    keep[begin] = ~blank[begin]
+    used = np.flatnonzero(keep)
+    last = used[np.maximum(np.searchsorted(used, offsets[1:]) - 1, 0)] if len(used) else used
+    keep[last[blank[last]]] = False
+    ends = np.append(0, np.cumsum(keep))
+    return np.where(blank, np.uint8(32), data)[keep], ends[offsets]
+
 
 def normal(text: str) -> str:
     """Lower case, each run of white space one blank, none at the ends."""
-    return " ".join(text.lower().split())
+    return squeezed(pa.array([text], pa.string()))[0].tobytes().decode()
 
 
 def infix_distance(item: bytes, text: bytes) -> int:
@@ -133,7 +165,7 @@ def word_counts(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
         sums = np.zeros(len(vocabulary) + 1, np.int64)
         for batch in batches:
             for part in slices(batch, "text", STRIP_BYTES):
-                data, offsets = text_bytes(pc.utf8_lower(part.column(0).fill_null("")))
+                data, offsets = squeezed(part.column(0))
                 starts, ends, _ = spans(data, offsets, WORD)
                 at, hit = _find(vocabulary, span_hashes(data, starts, ends))
                 sums += np.bincount(at[hit], minlength=len(sums))
@@ -209,18 +241,16 @@ def candidates(data: np.ndarray, offsets: np.ndarray, items: Items) -> tuple[np.
 
 def matches(column: pa.Array, items: Items, max_edits: float) -> dict[tuple[int, int], int]:
     """Fewest edits by (row, item) of the texts of a column."""
-    data, offsets = text_bytes(pc.utf8_lower(column.fill_null("")))
-    data = _BLANK[data]
+    data, offsets = squeezed(column)
     best: dict[tuple[int, int], int] = {}
     for row, item, start in zip(*(x.tolist() for x in candidates(data, offsets, items))):
         text = items.texts[item]
         most = int(max_edits * len(text))
         if best.get((row, item), most + 1) == 0:
             continue
-        # white space is squeezed below, so the window is read with room for it
-        a = max(int(offsets[row]), start - most - 16)
-        b = min(int(offsets[row + 1]), start + len(text) + most + 64)
-        window = b" ".join(data[a:b].tobytes().split())
+        a = max(int(offsets[row]), start - most)
+        b = min(int(offsets[row + 1]), start + len(text) + most)
+        window = data[a:b].tobytes()
         edits = 0 if text in window else infix_distance(text, window)
         if edits <= most:
             best[row, item] = min(edits, best.get((row, item), edits))

@@ -172,3 +172,23 @@ def test_leaks_in_awkward_rows(spark, awkward, no_docs, prose):
     left = decontam.drop_leaked(awkward, items)
     assert left.columns == awkward.columns and left.count() == awkward.count() - 2
     assert decontam.leaks(no_docs, items).count() == 0 and decontam.leaks(awkward, items.limit(0)).count() == 0
+
+
+def test_copies_with_wide_gaps_are_exact(spark, prose):
+    items = [(i, prose(4000 + i, 20 + 10 * i, 4000)) for i in range(12)]
+    gaps = ["  ", "\r\n", "\n    ", " \u00a0 ", "\u3000", "\u2003\t"]
+    docs = [
+        (100 * i + k, f"{prose(5000 + i, 30)}\n {gap.join(text.split())} \n{prose(6000 + i, 30)}")
+        for i, text in items for k, gap in enumerate(gaps)
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert sorted((r.doc_id, r.edits) for r in rows if r.item_id == r.doc_id // 100) == [(d, 0) for d, _ in docs]
+
+
+def test_normal_text_is_the_same_rule_everywhere():
+    texts = [" A\u00a0\u2003b\x1f c\u3000", "", "\n", "é  \u0085\u00c2\u2019 x ", "a", " ", "漢\u3000\u2028字", "b "]
+    assert [decontam.normal(t) for t in texts] == [" ".join(t.lower().split()) for t in texts]
+    data, offsets = decontam.squeezed(pa.array(texts))
+    rows = [data[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:])]
+    assert rows == [decontam.normal(t) for t in texts]
