@@ -192,3 +192,37 @@ def test_normal_text_is_the_same_rule_everywhere():
     data, offsets = decontam.squeezed(pa.array(texts))
     rows = [data[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:])]
     assert rows == [decontam.normal(t) for t in texts]
+
+
+def at_the_limit(rnd, text):
+    """A copy with exactly as many edits as are allowed, in its normal form."""
+    most, own = int(0.15 * len(text.encode())), text
+    while decontam.infix_distance(text.encode(), own.encode()) < most:
+        x = list(own)
+        at = rnd.randrange(1, len(x) - 1)
+        x[at : at + rnd.choice([0, 1])] = rnd.choice(["q", "e", "z", "", "a"])
+        x = decontam.normal("".join(x))
+        own = x if decontam.infix_distance(text.encode(), x.encode()) <= most else own
+    return own
+
+
+def test_recall_at_the_limit_of_edits(spark):
+    rnd = random.Random(11)
+    bench = read(spark, "/root/testdata/sf0.01", "benchmark")
+    items = [(r.item_id, decontam.normal(r.text)) for r in bench.collect()] * 8
+    docs = [(k, f"so it went on {at_the_limit(rnd, t)} and then no more") for k, (_, t) in enumerate(items)]
+    rows = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string").repartition(8), bench).collect()
+    found = {(r.doc_id, r.item_id) for r in rows}
+    assert sum((k, i) in found for k, (i, _) in enumerate(items)) >= decontam.RECALL * len(items)
+
+
+def test_copies_without_blanks_or_beside_other_signs(spark, prose):
+    rnd = random.Random(12)
+    signs = [chr(c) for c in range(0x4E00, 0x4E00 + 900)]
+    line = lambda n: "".join(rnd.choices(signs, k=n))
+    items = [(i, line(30 + 5 * i)) for i in range(8)] + [(8, prose(1, 30)), (9, "ab cd"), (10, "7 c")]
+    docs = [(i, f"{line(40)}{t}{line(40)}") for i, t in items] + [(20 + i, f"\u201c{t.replace(' ', '\u2014')}\u201d") for i, t in items[:8]]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {(r.doc_id % 20, r.edits) for r in rows if r.doc_id % 20 == r.item_id} == {(i, 0) for i, _ in items}
+    assert {r.doc_id for r in rows if r.doc_id % 20 == r.item_id} == {i for i, _ in docs}
