@@ -23,6 +23,8 @@ EVIDENCE_WORDS = 14
 #: Chunks end here at the latest; bytes without a repeated chunk inside one passage, at most; text on both sides of a
 #: copy that is compared byte by byte.
 MAX_BYTES, GAP, CONTEXT = 1024, 160, 300
+#: Neighbouring repeated chunks are also led as one to the first document that has them all: 2, 4, ... up to this many.
+MOST_CHUNKS = 16
 #: Bits of the map of documents whose text is asked for.
 BITMAP = 1 << 25
 #: Words of a passage that counts as repeated.
@@ -90,26 +92,55 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             use = (w1 - w0 >= SEED_WORDS) & (ends - starts >= SEED_BYTES)
             digests = span_hashes(data, starts[use], ends[use])
             row, begin = row[use], begin[use]
+            texts = span_hashes(data, offsets[:-1], offsets[1:]).view(np.int64)
             yield pa.record_batch(
                 [
                     part.column(0).take(pa.array(row)),
+                    pa.array(texts[row]),
                     pa.array(digests.view(np.int64)),
                     pa.array((starts[use] - begin).astype(np.int32)),
                     pa.array((ends - starts)[use].astype(np.int32)),
                     pa.array((w0[use] - np.searchsorted(word, begin)).astype(np.int32)),
                     pa.array((w1 - w0)[use].astype(np.int32)),
                 ],
-                names=["doc", "digest", "start", "size", "word", "words"],
+                names=["doc", "row", "digest", "start", "size", "word", "words"],
             )
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """(doc, digest, start, size, word, words): the chunks of each text that are long enough to point at a copy."""
+    """(doc, row, digest, start, size, word, words): the chunks of each text that are long enough to point at a copy.
+
+    row is a digest of the whole text: it tells rows with one doc_id apart.
+    """
     return docs.select("doc", "text").mapInArrow(
-        _chunks, "doc long, digest long, start int, size int, word int, words int"
+        _chunks, "doc long, row long, digest long, start int, size int, word int, words int"
     )
 
 
+def _first(found: DataFrame) -> DataFrame:
+    """(digest, first, first_start) of the digests that stand in several documents."""
+    first = found.groupBy("digest").agg(F.min(F.struct("doc", "start")).alias("at"), F.max("doc").alias("last"))
+    return first.where("last <> at.doc").select("digest", F.col("at.doc").alias("first"), F.col("at.start").alias("first_start"))
+
+
+def _together(found: DataFrame) -> DataFrame:
+    """The repeated chunks with their neighbours: one row for each 2, 4, ... of them that follow each other in a text."""
+    along = Window.partitionBy("doc", "row").orderBy("start")
+    rows = found.withColumns({"d1": F.col("digest"), "e1": F.col("start") + F.col("size"), "v1": F.col("word") + F.col("words")})
+    n = 1
+    while n < MOST_CHUNKS:
+        d, e, v = (f"{c}{n}" for c in "dev")
+        there = lambda c, n=n: F.lead(c, n).over(along)
+        whole = F.col(d).isNotNull() & there(d).isNotNull() & (there("start") - F.col(e) <= GAP)
+        joint = F.xxhash64(d, there(d), there("start") - F.col("start"))
+        rows = rows.withColumns({f"d{2 * n}": F.when(whole, joint), f"e{2 * n}": there(e), f"v{2 * n}": there(v)})
+        n *= 2
+    scales = [2**k for k in range(1, MOST_CHUNKS.bit_length())]
+    each = F.array(*(F.struct(F.col(f"d{n}").alias("d"), F.col(f"e{n}").alias("e"), F.col(f"v{n}").alias("v")) for n in scales))
+    rows = rows.select("doc", "row", "start", "word", F.explode(each).alias("x")).where("x.d IS NOT NULL")
+    return rows.selectExpr("doc", "row", "x.d AS digest", "start", "x.e - start AS size", "word", "x.v - word AS words")
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each asked span of a text: what stands on either side, and a digest of what is inside."""
     names = ["doc", "s", "e", "left", "right", "inside"]
@@ -204,7 +235,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Cuts depend on the 32 bytes before them only, so an insertion moves no cut behind it: within any repeated passage
     the same chunks come up again. Digests are counted over all documents; each repeated chunk is led to the first
-    document that has it, neighbouring ones are joined, their bytes compared by a digest of 128 bits and the text on
+    document that has it, and so are each 2, 4, ... MOST_CHUNKS repeated chunks that follow each other, so that a passage
+    whose parts stand in other documents too still meets one that has it whole. Neighbouring ones are joined, their bytes compared by a digest of 128 bits and the text on
     both sides byte by byte. Words are runs without ASCII white space.
 
     Null or empty texts have no passage. Rows without a doc_id take part as one document that comes before all
@@ -213,19 +245,16 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), "text")
     found = chunks(rows)
-    first = found.groupBy("digest").agg(
-        F.min(F.struct("doc", "start")).alias("at"), F.max("doc").alias("last")
-    )
-    first = first.where("last <> at.doc").select(
-        "digest", F.col("at.doc").alias("first"), (F.col("at.start")).alias("first_start")
-    )
-    hits = found.join(first, "digest").where("doc <> first")
-    hits = hits.select("doc", "first", (F.col("start") - F.col("first_start")).alias("shift"), "start", "size", "word", "words")
+    found = settle(found.join(_first(found), "digest"), "repeated")
+    wide = settle(_together(found.drop("first", "first_start").distinct()), "together")
+    wide = wide.join(_first(wide), "digest")
+    hits = found.unionByName(wide).where("doc <> first")
+    hits = hits.select("doc", "first", (F.col("start") - F.col("first_start")).alias("shift"), "start", "size", "word", "words").distinct()
 
     by = ("doc", "first", "shift")
-    along = Window.partitionBy(*by).orderBy("start")
+    along = Window.partitionBy(*by).orderBy("start", "size")
     end = F.col("start") + F.col("size")
-    away = F.col("start") - F.lag(end).over(along)
+    away = F.col("start") - F.max(end).over(along.rowsBetween(Window.unboundedPreceding, -1))
     hits = hits.withColumn("new", F.coalesce(away > 0, F.lit(True)).cast("int"))
     hits = hits.withColumn("far", F.coalesce(away > GAP, F.lit(True)).cast("int"))
     hits = hits.withColumn("run", F.sum("new").over(along)).withColumn("island", F.sum("far").over(along))

@@ -133,3 +133,22 @@ def test_repeats_in_awkward_documents(spark, awkward, no_docs, prose):
     assert out.columns == both.columns and out.count() == both.count()
     left = {r.doc_id: r.text for r in out.where("doc_id IN (5, 50, 60)").collect()}
     assert len((left[5] or "").split()) >= 59_000 and not left[50].split() and left[60] == "x" * 9000
+
+
+def test_copy_whose_parts_stand_in_earlier_documents(spark, prose):
+    docs, pairs = [], []
+    for k in range(20):
+        parts = [prose(3000 + 10 * k + i, 40, 4000) for i in range(3 if k % 2 else 2)]
+        at = 100 * k
+        docs += [(at + i, f"{prose(at + i, 60, 4000)} {p} {prose(at + i + 50, 60, 4000)}") for i, p in enumerate(parts)]
+        docs += [(at + i, f"{prose(at + i, 30, 4000)} {' '.join(parts)} {prose(at + i + 50, 30, 4000)}") for i in (10, 20, 30)]
+        pairs.append((at, " ".join(parts)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    rows, text = substrings.repeated_passages(df).collect(), dict(docs)
+    spans = {(r.doc_id, r.kept_doc_id, text[r.doc_id].encode()[r.start : r.end].decode()) for r in rows}
+    for at, whole in pairs:
+        for i in (20, 30):
+            assert any(whole in t for d, first, t in spans if (d, first) == (at + i, at + 10))
+        assert not any(d in (at, at + 1, at + 2) for d, _, _ in spans)
+    after = {r.doc_id: r.text for r in substrings.drop_repeats(df).collect()}
+    assert all(whole in after[at + 10] and whole[100:200] not in after[at + 20] + after[at + 30] for at, whole in pairs)
