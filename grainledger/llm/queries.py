@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, decontam, lm_score, quality, simhash, substrings, token_counts, topk, toxicity
+from . import byte_bpe, chat, decontam, lm_score, quality, simhash, spelling, substrings, token_counts, topk, toxicity
 
 #: Where the vocabulary files of public tokenizers are.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR") or os.path.dirname(public_tokenizers.__file__)
@@ -123,6 +123,56 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+@query(
+    "op11_spelling_variants",
+    f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(
+    list_concat([i], range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step
+), runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{spelling.UPPER}', '{spelling.LOWER}') AS run
+  FROM documents
+), counted AS (
+  SELECT id, run, count(*) AS k, hex(encode(id || ':' || run)) AS bytes FROM runs WHERE length(run) >= 6 GROUP BY id, run
+), hashed AS (
+  SELECT run, k, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(range(length(bytes) // 2), lambda i: CAST('0x' || bytes[2 * i + 1 : 2 * i + 2] AS BIGINT))),
+    lambda c, b: xor(c >> 8, step[1 + (xor(c, b) % 256)]))) AS h
+  FROM counted, crc
+), results AS (
+  SELECT CASE WHEN h % 199 <> 0 THEN run
+              ELSE substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) END AS word, k
+  FROM hashed
+), words AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM results WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5
+), shorter AS (
+  SELECT word, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT p.word, q.word AS other FROM shorter p JOIN shorter q ON p.i = q.i AND p.rest = q.rest AND p.word <> q.word
+  UNION SELECT s.word, w.word FROM shorter s JOIN words w ON s.rest = w.word
+  UNION SELECT w.word, s.word FROM shorter s JOIN words w ON s.rest = w.word
+), ranked AS (
+  SELECT near.word, other, n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+         row_number() OVER (PARTITION BY near.word ORDER BY n DESC, other) AS place
+  FROM near JOIN words ON words.word = other
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * w.n THEN other END AS form,
+         CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN (SELECT * FROM ranked WHERE place = 1) r ON r.word = w.word
+), chain AS (
+  SELECT word, word AS root, 0 AS steps FROM forms
+  UNION ALL SELECT chain.word, form, steps + 1 FROM chain JOIN forms ON forms.word = root WHERE form IS NOT NULL
+)
+SELECT word, n, n_near, form, form_n, root
+FROM forms JOIN (SELECT word, arg_max(root, steps) AS root FROM chain GROUP BY word) USING (word)
+""",
+)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # beside the package; it builds on this module
