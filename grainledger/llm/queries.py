@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, decontam, lm_score, quality, simhash, spelling, substrings, token_counts, topk, toxicity
+from . import byte_bpe, chat, decontam, embedding_dups, lm_score, quality, simhash, spelling, substrings, token_counts, topk, toxicity
 
 #: Where the vocabulary files of public tokenizers are.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR") or os.path.dirname(public_tokenizers.__file__)
@@ -173,6 +173,28 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+@query(
+    "op13_embedding_dups",
+    """
+WITH RECURSIVE ready AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM ready p JOIN ready q ON p.vec_id <> q.vec_id AND len(p.v) = len(q.v)
+  WHERE list_cosine_similarity(p.v, q.v) >= 0.9
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), component AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN component USING (vec_id) LEFT JOIN degree USING (vec_id)
+""",
+)
+def op13_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dups.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # beside the package; it builds on this module
