@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, decontam, embedding_dups, lm_score, quality, simhash, spelling, substrings, token_counts, topk, toxicity
+from . import alignment, byte_bpe, chat, decontam, embedding_dups, lm_score, quality, simhash, spelling, substrings, token_counts, topk, toxicity
 
 #: Where the vocabulary files of public tokenizers are.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR") or os.path.dirname(public_tokenizers.__file__)
@@ -173,6 +173,12 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = [os.path.join(TOKENIZERS, name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.alignment_counts(table(spark, sf_dir, "documents"), alignment.Vocabularies.load(*files))
+
+
 @query(
     "op13_embedding_dups",
     """
