@@ -1,6 +1,6 @@
 from .asof import asof_join  # noqa: F401
 from .cdc import current_state, scd2, version_changes  # noqa: F401
-from .completeness import coverage_grid, issue_list, manifest_recon, volume_vs_mean  # noqa: F401
+from .completeness import coverage_grid, issue_list, manifest_recon, missing_cells, volume_vs_mean  # noqa: F401
 from .dedupe import keep_first, latest_per_key  # noqa: F401
 from .events import (  # noqa: F401
     cycle_summary,

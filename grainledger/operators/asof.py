@@ -4,17 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .cells import cell_bounds, cell_of
 from .sizing import lookup_side
 
-_EPOCH = "1970-01-01 00:00:00"
-
-
-def _seconds(ts: Column) -> Column:
-    return F.timestamp_diff("SECOND", F.lit(_EPOCH).cast("timestamp_ntz"), ts)
-
 
 def asof_join(fact: DataFrame, versions: DataFrame, key: str, ts: str, cols: Mapping[str, str],
               busy_above: int = 32) -> DataFrame:
@@ -25,11 +20,13 @@ def asof_join(fact: DataFrame, versions: DataFrame, key: str, ts: str, cols: Map
 
     Joining on the key and checking the interval compares every fact with every version of its key.
     That is right for the many keys with few versions, and quadratic for one that owns a large part
-    of both sides. So the time of a busy key (more than `busy_above` versions) is cut into as many
-    equal slots as it has versions: a version is listed once per slot it touches, which at most
-    triples its rows, a fact falls into one slot, and the slot joins the key in the join condition.
-    Quiet keys have the single slot 0. The slots spread a hot key over tasks; what is still hot is
-    left to adaptive skew handling, which may split the facts of a left join.
+    of both sides. So the versions of a busy key (more than `busy_above`) are dealt to cells of about
+    equally many starts (see `cell_bounds`): a version is listed in every cell it reaches into, which
+    at most doubles the rows, a fact falls into one cell, and the cell joins the key in the join
+    condition. A fact meets about n / CELLS of its key's n versions, one where n is at most CELLS,
+    and a burst of changes gets as many cells as it has changes. Quiet keys have the single cell 0.
+    The cells spread a hot key over tasks; what is still hot is left to adaptive skew handling, which
+    may split the facts of a left join.
 
     The listed history is broadcast when three times the history's estimated size is inside Spark's
     broadcast threshold (Spark's own estimate of a joined side is a product and never is), so the
@@ -41,38 +38,18 @@ def asof_join(fact: DataFrame, versions: DataFrame, key: str, ts: str, cols: Map
         F.col("valid_to").alias("_to"),
         *[F.col(src).alias(out) for src, out in cols.items()],
     )
-    busy = (
-        right.groupBy(F.col("_vkey").alias("_bkey"))
-        .agg(
-            F.count("*").alias("_n"),
-            _seconds(F.min("_from")).alias("_lo"),
-            _seconds(F.max("_from")).alias("_hi"),
-        )
-        .where(F.col("_n") > busy_above)
-        .withColumn("_step", F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo")) / F.col("_n"))))
-        .drop("_n")
-    )
-
-    def slot(at: str) -> Column:
-        # All times after the last change share its slot: only the open version is left there.
-        inside = F.least(_seconds(F.col(at)), F.col("_hi")) - F.col("_lo")
-        return F.floor(inside / F.col("_step"))
-
-    listed = right.join(busy, F.col("_vkey") == F.col("_bkey"), "left").select(
-        *right.columns,
-        F.explode(
-            F.when(F.col("_bkey").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(
-                F.sequence(slot("_from"), slot("_to"))
-            )
-        ).alias("_vslot"),
+    bounds = lookup_side(cell_bounds(right.where("_vkey IS NOT NULL"), ["_vkey"], "_from", busy_above), versions, copies=3)
+    last = F.col("_to") - F.expr("INTERVAL '0.000001' SECOND")  # no time lies between this and the end
+    listed = right.join(bounds, F.col("_vkey") == F.col("_b__vkey"), "left").select(
+        *right.columns, F.explode(F.sequence(cell_of(F.col("_from")), cell_of(last))).alias("_vcell")
     )
-    placed = fact.join(lookup_side(busy, versions, copies=3), F.col(key) == F.col("_bkey"), "left").select(
-        *[fact[c] for c in fact.columns], F.coalesce(slot(ts), F.lit(0)).alias("_slot")
+    placed = fact.join(bounds, F.col(key) == F.col("_b__vkey"), "left").select(
+        *[fact[c] for c in fact.columns], cell_of(F.col(ts)).alias("_cell")
     )
     on = (
         (F.col(key) == F.col("_vkey"))
-        & (F.col("_slot") == F.col("_vslot"))
+        & (F.col("_cell") == F.col("_vcell"))
         & (F.col(ts) >= F.col("_from"))
         & (F.col(ts) < F.col("_to"))
     )
-    return placed.join(lookup_side(listed, versions, copies=3), on, "left").drop("_vkey", "_from", "_to", "_slot", "_vslot")
+    return placed.join(lookup_side(listed, versions, copies=3), on, "left").drop("_vkey", "_from", "_to", "_cell", "_vcell")

@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .cells import cell_bounds, cell_of, same_keys
 from .dedupe import latest_per_key, tie_breakers
 
 # Fixed value: end of an open validity interval.
 OPEN_END = "9999-12-31 00:00:00"
-_EPOCH = "1970-01-01 00:00:00"
 
 
 def _as_list(key: str | Sequence[str]) -> list[str]:
@@ -19,38 +19,39 @@ def _as_list(key: str | Sequence[str]) -> list[str]:
 
 
 def scd2(df: DataFrame, key: str | Sequence[str], ts: str, seq: str, op: str,
-         end: str = OPEN_END, bucket: str = "HOUR") -> DataFrame:
+         end: str = OPEN_END, busy_above: int = 4096) -> DataFrame:
     """Half-open validity intervals `[valid_from, valid_to)` from an I/U/D stream.
 
     A version ends at the key's next change of any kind, so a delete closes a version and opens
     none, and an update after a delete opens a new one. Of several changes at one instant only the
     last captured one can have a non-empty interval, so the others go first (before the shuffle).
 
-    The next change is looked up in two steps, inside a key's hour and then across the key's hours:
-    the second window holds one row per key and hour, so a key that owns a third of the stream is
-    spread over its hours instead of being sorted by one task. `bucket` may name a shorter unit
-    (MINUTE, SECOND) for streams whose changes come in bursts.
+    The changes of a busy key (more than `busy_above`) are dealt to cells of about equally many
+    changes (see `cell_bounds`). The next change is looked up inside a key's cell and then across the
+    key's cells: the second window holds one row per key and cell, some CELLS at most. So a key that
+    owns a third of the stream is spread over tasks however its changes are spread over time.
     """
     keys = _as_list(key)
     dated = df.where(F.col(ts).isNotNull())
-    last = latest_per_key(dated, [*keys, ts], [seq], nulls="first").withColumn(
-        "_bucket", F.timestamp_diff(bucket, F.lit(_EPOCH).cast("timestamp_ntz"), F.col(ts))
-    )
-    in_hour = Window.partitionBy(*keys, "_bucket").orderBy(ts)
-    stepped = last.withColumn("_next", F.lead(ts).over(in_hour)).withColumn(
-        "_opens", F.first(ts).over(in_hour)
-    )
-    across = Window.partitionBy(*keys).orderBy("_bucket")
+    last = latest_per_key(dated, [*keys, ts], [seq], nulls="first")
+    # reading `op` keeps the whole row in the grouping, so that its shuffle serves every use
+    changes = last.select(*keys, ts, op).where(F.coalesce(F.col(op), F.lit("")) != "?")
+    mine = [f"_b_{k}" for k in keys]
+    bounds = cell_bounds(changes, keys, ts, busy_above)
+    dealt = last.join(bounds, same_keys(keys, mine), "left").select(*last.columns, cell_of(F.col(ts)).alias("_cell"))
+    in_cell = Window.partitionBy(*keys, "_cell").orderBy(ts)
+    stepped = dealt.withColumn("_next", F.lead(ts).over(in_cell)).withColumn("_opens", F.first(ts).over(in_cell))
+    across = Window.partitionBy(*keys).orderBy("_cell")
     inside = stepped.where(F.col("_next").isNotNull())
-    hour_ends = stepped.where(F.col("_next").isNull()).withColumn("_next", F.lead("_opens").over(across))
+    cell_ends = stepped.where(F.col("_next").isNull()).withColumn("_next", F.lead("_opens").over(across))
 
     return (
-        inside.unionByName(hour_ends)
+        inside.unionByName(cell_ends)
         .where(F.col(op).isin("I", "U"))
         .withColumn("valid_to", F.coalesce(F.col("_next"), F.lit(end).cast("timestamp_ntz")))
         .withColumnRenamed(ts, "valid_from")
         .where("valid_from < valid_to")
-        .drop("_bucket", "_next", "_opens")
+        .drop("_cell", "_next", "_opens")
     )
 
 

@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import exact_mean, exact_sum, pct, round_to
-from .medians import with_exact_median
+from ..functions import pct, round_to
+from .medians import value_summary, with_exact_median
 
 
 def key_rollup(df: DataFrame, keys: Sequence[str], value: str, flags: Mapping[str, tuple[str, str]],
@@ -70,11 +70,9 @@ def event_vs_target(orders: DataFrame, events: DataFrame, key: str, event: str,
 
 def source_profile(df: DataFrame, source: str, value: str) -> DataFrame:
     """Count, mean and median of a value per source."""
-    summary = df.groupBy(source).agg(
-        F.count("*").alias("orders"), round_to(exact_mean(value), 2).alias("mean_gross")
-    )
-    return with_exact_median(summary, df, [source], value, "median_gross").withColumn(
-        "median_gross", round_to("median_gross", 2)
+    return value_summary(df, [source], value, "median_gross").select(
+        source, F.col("_rows").alias("orders"), round_to("_mean", 2).alias("mean_gross"),
+        round_to("median_gross", 2).alias("median_gross"),
     )
 
 
@@ -86,18 +84,11 @@ def value_by_source(df: DataFrame, source: str, value: str, adjust: Mapping[str,
     divisor = F.lit(1.0)
     for name, by in adjust.items():
         divisor = F.when(F.col(source) == name, F.lit(float(by))).otherwise(divisor)
-    summary = (
-        df.groupBy(source)
-        .agg(F.count("*").alias("orders"), exact_sum(value).alias("_total"),
-             round_to(exact_mean(value), 2).alias("mean_gross"))
-        .withColumn("order_value_gross", round_to("_total", 2))
-        .withColumn("order_value_ex_suspected_freight", round_to(F.col("_total") / divisor, 2))
-    )
-    return with_exact_median(summary, df, [source], value, "median_gross").select(
+    return value_summary(df, [source], value, "median_gross").select(
         source,
-        "orders",
-        "order_value_gross",
-        "order_value_ex_suspected_freight",
-        "mean_gross",
+        F.col("_rows").alias("orders"),
+        round_to("_total", 2).alias("order_value_gross"),
+        round_to(F.col("_total") / divisor, 2).alias("order_value_ex_suspected_freight"),
+        round_to("_mean", 2).alias("mean_gross"),
         round_to("median_gross", 2).alias("median_gross"),
     )

@@ -70,10 +70,11 @@ def test_scd2_ties_deletes_and_reopening(frame):
     assert got == [("A", at(0), at(1)), ("A", at(3), END), ("C", at(1), at(2))]
 
 
-def test_scd2_buckets_change_nothing(frame):
-    df = frame("k STRING, t TS, seq BIGINT, op STRING, ch STRING", *CHANGES)
-    rows = [sorted(map(tuple, scd2(df, "k", "t", "seq", "op", bucket=b).collect()), key=repr) for b in ("HOUR", "MINUTE", "SECOND")]
+def test_scd2_cells_change_nothing(frame):
+    df = frame("k STRING, t TS, seq BIGINT, op STRING, ch STRING", *CHANGES, (None, T[0], 6, "I", "A"), (None, T[1], 7, "D", "A"))
+    rows = [sorted(map(tuple, scd2(df, "k", "t", "seq", "op", busy_above=n).collect()), key=repr) for n in (0, 2, 10**6)]
     assert rows[0] == rows[1] == rows[2]
+    assert (None, at(0), 6, "I", "A", at(1)) in rows[0]
 
 
 def test_scd2_several_changes_within_one_day(frame):
