@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,10 +11,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .textscan import slices
+
 #: The sign that stands for a blank in pieces.
 BLANK = "▁"
-#: Characters whose state map is made at once.
-CHUNK = 1 << 15
+#: Characters whose state map is made at once, and characters between two marks of a map.
+CHUNK, MARK = 1 << 15, 64
+#: Text whose distinct words are counted together.
+STRIP = 1 << 21
 #: States and words that a task remembers at most; past that it starts anew, at the same results.
 STATES, WORDS = 150_000, 300_000
 
@@ -159,68 +163,112 @@ class Transducer:
         return state, total
 
 
-@dataclass
 class ChunkMap:
-    """What a chunk does to any state: its characters up to the first blank after a word depend on the state that
-    comes in; behind it, count and state are fixed (state None: the chunk has no such blank)."""
+    """What a chunk does to any state that comes in: the state that goes out, and the change of the token count.
+
+    The chunk is read once from the start state, and every MARK characters the state and the count so far are kept.
+    From another state it is read only until both readings are in one state at a mark: from there on they agree.
+    """
+
+    def __init__(self, machine: Transducer, text: str) -> None:
+        self.machine, self.text = machine, text
+        self.states, self.counts = array("q"), array("q")
+        state, total = machine.start, 0
+        for i in range(0, len(text), MARK):
+            state, delta = machine.run(state, text[i : i + MARK])
+            total += delta
+            self.states.append(state)
+            self.counts.append(total)
+
+    def __call__(self, state: int) -> tuple[int, int]:
+        if state == self.machine.start:
+            return self.states[-1], self.counts[-1]
+        total = 0
+        for mark, i in enumerate(range(0, len(self.text), MARK)):
+            state, delta = self.machine.run(state, self.text[i : i + MARK])
+            total += delta
+            if state == self.states[mark]:
+                return self.states[-1], total + self.counts[-1] - self.counts[mark]
+        return state, total
+
+
+class Composed:
+    """Two neighbouring maps as one. Composing is associative, so neighbours are composed in a tree."""
 
-    head: str
-    count: int = 0
-    state: int | None = None
+    def __init__(self, first: Callable, second: Callable) -> None:
+        self.first, self.second = first, second
+
+    def __call__(self, state: int) -> tuple[int, int]:
+        state, before = self.first(state)
+        state, count = self.second(state)
+        return state, before + count
 
 
 class Counter:
-    """Counts tokens of texts with one transducer, and remembers words."""
+    """Counts tokens of texts with one transducer, and remembers words.
+
+    A blank after another character leads every state to one and the same. So the map of a unit (blanks and the word
+    behind them) is constant: it is found once for each distinct unit, and composing units is adding up their counts.
+    """
 
     def __init__(self, pieces: dict[str, int]) -> None:
         self.machine = Transducer(pieces)
         self.words: dict[str, int] = {}
 
+    def unit(self, text: str) -> int:
+        """Tokens of blanks and a word, from the start state; a long one in chunks."""
+        machine = self.machine
+        if len(text) <= CHUNK:
+            return machine.run(machine.start, text)[1]
+        maps: list[Callable] = [ChunkMap(machine, text[i : i + CHUNK]) for i in range(0, len(text), CHUNK)]
+        while len(maps) > 1:
+            maps = [Composed(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+        return maps[0](machine.start)[1]
+
     def word(self, word: str) -> int:
-        """Tokens of one blank and a word, from the start state."""
+        """Tokens of one blank and a word."""
         found = self.words.get(word)
         if found is None:
-            found = self.machine.run(self.machine.start, BLANK + word)[1]
+            found = self.unit(BLANK + word)
             if len(self.words) >= WORDS:
                 self.words.clear()
-            self.words[word] = found
+            if len(word) <= 64:
+                self.words[word] = found
         return found
 
-    def chunk(self, text: str) -> ChunkMap:
-        at = next((i for i in range(1, len(text)) if text[i] == BLANK and text[i - 1] != BLANK), None)
-        if at is None:
-            return ChunkMap(text)
-        words = text[at + 1 :].split(BLANK)
-        count, blanks = 0, 0
-        for word in words[:-1]:
-            if not word:
-                blanks += 1
-            elif blanks:
-                count += self.machine.run(self.machine.start, BLANK * (blanks + 1) + word)[1]
-                blanks = 0
-            else:
-                count += self.word(word)
-        state, tail = self.machine.run(self.machine.start, BLANK * (blanks + 1) + words[-1])
-        return ChunkMap(text[:at], count + tail, state)
-
-    def compose(self, a: ChunkMap, b: ChunkMap) -> ChunkMap:
-        if a.state is None:
-            if b.head or b.state is None:
-                return ChunkMap(a.head + b.head, b.count, b.state)
-            return ChunkMap(a.head, b.count, b.state)
-        state, count = self.machine.run(a.state, b.head)
-        return ChunkMap(a.head, a.count + count + b.count, state if b.state is None else b.state)
-
-    def count(self, text: str) -> int:
-        if not text:
-            return 0
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of every text, each distinct unit of all of them counted once. A null is an empty text."""
         if len(self.machine.states) > STATES:
             self.machine.clear()
-        text = BLANK + text.replace(" ", BLANK)
-        maps = [self.chunk(text[i : i + CHUNK]) for i in range(0, len(text), CHUNK)]
-        while len(maps) > 1:  # composing is associative, so neighbours are composed in a tree
-            maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        return self.machine.run(self.machine.start, maps[0].head)[1] + maps[0].count
+        texts = texts.fill_null("").cast(pa.large_string())
+        parts = pc.split_pattern(pc.replace_substring(texts, BLANK, " "), " ")
+        many = np.asarray(parts.value_lengths(), np.int64)
+        row = np.repeat(np.arange(len(texts)), many)
+        coded = parts.flatten().dictionary_encode()
+        code, words = np.asarray(coded.indices, np.int64), coded.dictionary.to_pylist()
+        filled = np.array([bool(w) for w in words], bool)[code]
+        # blanks that stand before a word or at a text's end, beside the one that each part has in front
+        at, last = np.flatnonzero(filled), np.cumsum(many) - 1
+        first = last - many + 1
+        before = at - np.maximum(np.append(-1, at[:-1]), first[row[at]] - 1) - 1
+        plain = before == 0
+        total = np.zeros(len(texts), np.int64)
+        own = np.zeros(len(words), np.int64)
+        for i in np.unique(code[at[plain]]).tolist():
+            own[i] = self.word(words[i])
+        np.add.at(total, row[at[plain]], own[code[at[plain]]])
+        far, which = np.unique(np.stack([before[~plain], code[at[~plain]]]), axis=1, return_inverse=True)
+        each = np.fromiter((self.unit(BLANK * (k + 1) + words[i]) for k, i in far.T.tolist()), np.int64, far.shape[1])
+        np.add.at(total, row[at[~plain]], each[which.ravel()])
+        final = np.full(len(texts), -1)
+        np.maximum.at(final, row[at], at)
+        trail = np.where(final >= 0, last - final, np.where(np.asarray(pc.binary_length(texts)) > 0, many, 0))
+        for k in np.unique(trail[trail > 0]).tolist():
+            total[trail == k] += self.unit(BLANK * k)
+        return total
+
+    def count(self, text: str) -> int:
+        return int(self.counts(pa.array([text]))[0])
 
 
 def token_counts(docs: DataFrame, pieces: dict[str, int], limit: int = 4096) -> DataFrame:
@@ -228,7 +276,8 @@ def token_counts(docs: DataFrame, pieces: dict[str, int], limit: int = 4096) ->
 
     No begin, end or other special tokens are added, and their strings inside a text are ordinary text. A null or
     empty text has no bytes and no tokens. Every row gets a row, repeated rows and null ids too; extra columns are
-    not looked at; an empty table gives no rows.
+    not looked at; an empty table gives no rows. Texts are read in strips of about STRIP bytes; a longer one is a strip
+    of its own, and its words are cut into chunks where they are long.
     """
     shared = docs.sparkSession.sparkContext.broadcast((pieces, {}))  # the vocabulary; the dict is the worker's own
 
@@ -236,13 +285,13 @@ def token_counts(docs: DataFrame, pieces: dict[str, int], limit: int = 4096) ->
         vocabulary, kept = shared.value
         counter = kept.get("counter") or kept.setdefault("counter", Counter(vocabulary))
         for batch in batches:
-            texts = batch.column(1).fill_null("")
-            tokens = np.fromiter((counter.count(t.as_py()) for t in texts), np.int64, len(texts))
-            size = pc.binary_length(texts).cast(pa.int64())
-            yield pa.record_batch(
-                [batch.column(0), size, pa.array(tokens), pa.array(tokens > limit)],
-                names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
-            )
+            for part in slices(batch, "text", STRIP):
+                tokens = counter.counts(part.column(1))
+                size = pc.binary_length(part.column(1).fill_null("")).cast(pa.int64())
+                yield pa.record_batch(
+                    [part.column(0), size, pa.array(tokens), pa.array(tokens > limit)],
+                    names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
+                )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(work, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
