@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,8 +19,8 @@ from .textscan import mix, slices, span_hashes
 
 #: Text that is tokenised at once, and text of a block, whose distinct id pairs are counted together.
 STRIP_BYTES, BLOCK_BYTES = 1 << 20, 1 << 23
-#: Aligned windows that a worker remembers, and the ids of the longest that it does.
-REMEMBERED, REMEMBERED_IDS = 150_000, 64
+#: Pairs of tokens of one group that are listed one by one; those of larger groups are counted by distinct ids.
+PAIRED = 1 << 12
 #: The splitting pattern of byte-level vocabularies. Fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Bits of an id in the code of a pair.
@@ -124,45 +123,19 @@ class Tokenizers:
 # --- windows --------------------------------------------------------------------------------------
 
 
-def window_groups(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]) -> list[tuple[list[int], list[int]]]:
-    """The ids of both sides between byte offsets where tokens of both end."""
-    groups, i, j, x, y, p, q = [], 0, 0, 0, 0, 0, 0
-    while i < len(a) or j < len(b):
-        if x <= y:
-            x += a_sizes[i]
-            i += 1
-        else:
-            y += b_sizes[j]
-            j += 1
-        if x == y:
-            groups.append((a[p:i], b[q:j]))
-            p, q = i, j
-    return groups
-
-
 @dataclass(frozen=True)
-class Window:
-    """An aligned window: its groups as text, how many, and the linked id pairs with their numbers of links."""
+class Windows:
+    """Aligned windows: their groups as text, how many, their links, and the linked id pairs with their numbers.
 
-    text: bytes
-    groups: int
-    links: int
-    pairs: list[int]
-    times: list[int]
+    The pairs of all windows stand one behind the other; many[i] of them belong to window i.
+    """
 
-    @classmethod
-    def of(cls, groups: list[tuple[list[int], list[int]]]) -> Window:
-        found: Counter[int] = Counter()
-        for a, b in groups:
-            if len(a) == len(b) == 1:
-                found[a[0] << ID_BITS | b[0]] += 1
-            else:  # all pairs of a group, by distinct ids
-                right = Counter(b)
-                for x, n in Counter(a).items():
-                    for y, m in right.items():
-                        found[x << ID_BITS | y] += n * m
-        text = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
-        return cls(text.encode() + b";", len(groups), sum(found.values()), list(found), list(found.values()))
+    text: pa.Array
+    groups: np.ndarray
+    links: np.ndarray
+    many: np.ndarray
+    pairs: np.ndarray
+    times: np.ndarray
 
 
 @dataclass(frozen=True)
@@ -180,31 +153,54 @@ class Aligned:
 
 
 class Aligner:
-    """Aligns documents; windows with the same ids on both sides are aligned once and remembered."""
+    """Aligns documents strip by strip; windows with the same ids on both sides are aligned once in a strip."""
 
     def __init__(self, tokenizers: Tokenizers) -> None:
         self.tokenizers = tokenizers
-        self.known: dict[tuple[bytes, bytes], Window] = {}
-
-    def _window(self, a: np.ndarray, b: np.ndarray) -> Window:
-        sizes = self.tokenizers.sizes
-        key = (a.tobytes(), b.tobytes())
-        found = self.known.get(key)
-        if found is None:
-            found = Window.of(window_groups(a.tolist(), b.tolist(), sizes[0][a].tolist(), sizes[1][b].tolist()))
-            if len(a) + len(b) <= REMEMBERED_IDS:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[key] = found
-        return found
+        # an id as text, with the sign that follows it: between ids, at the end of a side, at the end of a group
+        signs = [[b"%d%b" % (i, sign) for i in range(len(tokenizers.sizes[s])) for sign in (b",", end)] for s, end in ((0, b"|"), (1, b";"))]
+        self.second = len(signs[0])
+        self.names = pa.array(signs[0] + signs[1], pa.large_binary())
 
     def _cuts(self, ids: np.ndarray, own: np.ndarray, other: np.ndarray, last: np.ndarray, side: int) -> np.ndarray:
         """Where windows end, counted in tokens: at ends shared with the other side, before a blank or at a text's end."""
-        shared = np.zeros(int(own[-1]) + 1, bool)
-        shared[other] = True
         blank = np.append(self.tokenizers.blank[side][ids[1:]], False)
         blank[last] = True
-        return np.flatnonzero(shared[own] & blank) + 1
+        return np.flatnonzero(_shared(own, other) & blank) + 1
+
+    def windows(self, ids: list[np.ndarray], cuts: list[np.ndarray]) -> Windows:
+        """The alignment of windows that stand one behind the other; cuts are their ends, counted in tokens."""
+        ends = [np.cumsum(self.tokenizers.sizes[s][ids[s]]) for s in (0, 1)]
+        close = [_shared(ends[s], ends[1 - s]) for s in (0, 1)]  # a group ends with this token
+        group = [np.cumsum(c) - c for c in close]
+        n = int(close[0].sum())
+        sizes = [np.bincount(g, minlength=n) for g in group]
+        links = sizes[0] * sizes[1]
+        last = np.append(0, np.cumsum(close[0]))[cuts[0]]  # groups up to each window's end
+        groups = np.diff(last, prepend=0)
+
+        place = np.concatenate([2 * ids[0].astype(np.int64) + close[0], self.second + 2 * ids[1].astype(np.int64) + close[1]])
+        order = np.argsort(np.concatenate([2 * group[0], 2 * group[1] + 1]), kind="stable")
+        spelt = self.names.take(pa.array(place[order]))
+        offsets = np.frombuffer(spelt.buffers()[1], np.int64)[: len(order) + 1][np.append(0, cuts[0] + cuts[1])]
+        text = pa.Array.from_buffers(pa.large_binary(), len(cuts[0]), [None, pa.py_buffer(offsets.tobytes()), spelt.buffers()[2]])
+
+        large = links > PAIRED
+        starts = np.cumsum(sizes[1]) - sizes[1]
+        partners = np.where(large, 0, sizes[1])[group[0]]
+        left = np.repeat(np.arange(len(ids[0])), partners)
+        right = np.repeat(starts[group[0]] - (np.cumsum(partners) - partners), partners) + np.arange(len(left))
+        pairs = ids[0][left].astype(np.int64) << ID_BITS | ids[1][right]
+        owner, times = group[0][left], np.ones(len(pairs), np.int64)
+        for g in np.flatnonzero(large).tolist():  # all pairs of a large group, by distinct ids
+            (a, x), (b, y) = (np.unique(ids[s][group[s] == g].astype(np.int64), return_counts=True) for s in (0, 1))
+            pairs = np.append(pairs, (a[:, None] << ID_BITS | b).ravel())
+            times = np.append(times, np.outer(x, y).ravel())
+            owner = np.append(owner, np.full(len(a) * len(b), g))
+        window = np.searchsorted(last, owner, "right")
+        order = np.argsort(window, kind="stable")
+        many = np.bincount(window, minlength=len(last))
+        return Windows(text, groups, np.diff(np.append(0, np.cumsum(links))[last], prepend=0), many, pairs[order], times[order])
 
     def align(self, texts: list[str]) -> Aligned:
         first, second = self.tokenizers.ids(texts)
@@ -226,33 +222,43 @@ class Aligner:
             shift = np.repeat(cuts[s][head[number]] - cuts[s][:-1], size)
             if (size != size[head[number]]).any() or (ids[s] != ids[s][np.arange(len(ids[s])) + shift]).any():
                 head = number = np.arange(len(size))  # two windows share a hash: every window by itself
-        at, to = ([c[i].tolist() for i in (head, head + 1)] for c in cuts)
-        windows = [self._window(ids[0][p:q], ids[1][x:y]) for p, q, x, y in zip(*at, *to)]
+        taken, stops = zip(*(_spans(ids[s], cuts[s][head], cuts[s][head + 1]) for s in (0, 1)))
+        windows = self.windows(list(taken), list(stops))
         doc = np.repeat(np.arange(n), np.diff(np.searchsorted(cuts[0], np.append(0, np.cumsum(counts[0])))))
-        take = lambda values: np.fromiter(values, np.int64, len(windows))[number]
-        groups = np.bincount(doc, take(w.groups for w in windows), n).astype(np.int64)
-        links = np.zeros(n, np.int64)
-        np.add.at(links, doc, take(w.links for w in windows))
-        texts_of = pa.array([w.text for w in windows], pa.large_binary()).take(pa.array(number))
+        groups, links = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        np.add.at(groups, doc, windows.groups[number])
+        np.add.at(links, doc, windows.links[number])
+        texts_of = windows.text.take(pa.array(number))
         offsets = np.frombuffer(texts_of.buffers()[1], np.int64)[: len(number) + 1]
         data = memoryview(texts_of.buffers()[2])
-        stops = offsets[np.append(0, np.cumsum(np.bincount(doc, minlength=n)))].tolist()
-        spelt = [bytes(data[p : max(p, q - 1)]) for p, q in zip(stops, stops[1:])]
+        at = offsets[np.append(0, np.cumsum(np.bincount(doc, minlength=n)))].tolist()
+        spelt = [bytes(data[p : max(p, q - 1)]) for p, q in zip(at, at[1:])]
         return Aligned(*counts, groups, links, spelt, *_pairs_of(windows, number, doc, n))
 
 
-def _pairs_of(windows: list[Window], number: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _shared(own: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Which of the sorted ends are ends on the other side too."""
+    mark = np.zeros(int(own[-1]) + 1, bool)
+    mark[other] = True
+    return mark[own]
+
+
+def _spans(ids: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of some windows, one behind the other, and where each of them ends."""
+    size = stop - start
+    ends = np.cumsum(size)
+    return ids[np.repeat(start - (ends - size), size) + np.arange(int(size.sum()))], ends
+
+
+def _pairs_of(windows: Windows, number: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct id pairs of each document, how often each is linked, and where each document's pairs end."""
-    size = np.fromiter((len(w.pairs) for w in windows), np.int64, len(windows))
-    flat = np.fromiter((p for w in windows for p in w.pairs), np.int64, int(size.sum()))
-    times = np.fromiter((t for w in windows for t in w.times), np.int64, int(size.sum()))
-    distinct, code = np.unique(flat, return_inverse=True)
-    begin = np.cumsum(size) - size
-    many = size[number]
+    distinct, code = np.unique(windows.pairs, return_inverse=True)
+    begin = np.cumsum(windows.many) - windows.many
+    many = windows.many[number]
     at = np.repeat(begin[number] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
     found, where = np.unique(np.repeat(doc, many) * len(distinct) + code[at], return_inverse=True)
     total = np.zeros(len(found), np.int64)
-    np.add.at(total, where, times[at])
+    np.add.at(total, where, windows.times[at])
     return distinct[found % len(distinct)], total, np.searchsorted(found, np.arange(1, n + 1) * len(distinct))
 
 

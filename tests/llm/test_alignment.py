@@ -126,11 +126,20 @@ def test_equal_hashes_do_no_harm(vocabularies, tokenizers, monkeypatch):
     assert got.texts == want.texts and got.pairs.tolist() == want.pairs.tolist()
 
 
-def test_remembering_is_bounded(tokenizers, monkeypatch):
-    monkeypatch.setattr(alignment, "REMEMBERED", 5)
-    aligner = alignment.Aligner(tokenizers)
-    aligner.align([f"word{i} and more" for i in range(300)])
-    assert len(aligner.known) <= 5
+def test_equal_windows_are_aligned_once(tokenizers, monkeypatch):
+    aligner, seen = alignment.Aligner(tokenizers), []
+    monkeypatch.setattr(alignment.Aligner, "windows", lambda self, ids, cuts, of=alignment.Aligner.windows: seen.append(len(cuts[0])) or of(self, ids, cuts))
+    found = aligner.align(["more words and more words"] * 50 + ["more and more"])
+    assert seen == [3 + 0] and found.n_groups.tolist() == [5] * 50 + [3]
+
+
+def test_large_groups(tokenizers, libraries, monkeypatch):
+    texts = ["🧑🏽 " * 3 + "x" * 400, "the 日本語 end"]
+    whole = alignment.Aligner(tokenizers).align(texts)
+    monkeypatch.setattr(alignment, "PAIRED", 0)
+    counted = alignment.Aligner(tokenizers).align(texts)
+    key = lambda f: sorted(zip(f.pairs.tolist(), f.times.tolist()))
+    assert key(whole) == key(counted) and whole.n_links.tolist() == counted.n_links.tolist() == [b[3] for b in brute(libraries, texts)]
 
 
 def test_awkward_rows(spark, vocabularies, libraries, awkward, no_docs):
