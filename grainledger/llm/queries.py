@@ -101,14 +101,15 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op9_exact_top_k",
     """
 WITH ready AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT row_number() OVER () AS own, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS score
-  FROM ready q JOIN ready c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+  SELECT q.own, q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS score
+  FROM ready q JOIN ready c ON c.own <> q.own WHERE q.vec_id % 100 = 0
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+  SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id) AS place FROM scored
 )
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE place <= 10
 """,

@@ -58,17 +58,14 @@ def test_overlapping_marks_are_refused():
 
 
 def brute(rows, k, every):
-    ok = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not np.isfinite(x) for x in v):
-            continue
-        ok[i] = min(ok.get(i, v), v)
-    ints = {i: [int(np.floor(1024 * x)) for x in v] for i, v in ok.items()}
+    ok = [(i, v) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    ints = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in ok]
     out = []
-    for q in sorted(i for i in ints if i % every == 0):
-        scored = [(-sum(a * b for a, b in zip(ints[q], ints[c])), c) for c in ints if c != q and len(ints[c]) == len(ints[q])]
-        out += [(q, n + 1, c, -s) for n, (s, c) in enumerate(sorted(scored)[:k])]
-    return out
+    for at, (q, v) in enumerate(ints):
+        if q % every == 0:
+            scored = [(-sum(a * b for a, b in zip(v, w)), c) for n, (c, w) in enumerate(ints) if n != at and len(w) == len(v)]
+            out += [(q, n + 1, c, -s) for n, (s, c) in enumerate(sorted(scored)[:k])]
+    return sorted(out)
 
 
 def test_top_k_equals_brute_force(spark, monkeypatch):
@@ -83,6 +80,14 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     got = sorted(map(tuple, topk.top_k(df, 5, 10).collect()))
     assert got == brute(rows, 5, 10)
     assert topk.top_k(df.limit(0)).count() == 0
+    monkeypatch.setattr(topk, "SHARD_BYTES", 48 * 9)
+    assert sorted(map(tuple, topk.top_k(df, 5, 10).collect())) == got
+
+
+def test_rows_that_share_an_id_are_all_candidates(spark):
+    rows = [(0, [1.0, 0.0]), (0, [2.0, 0.0]), (1, [3.0, 0.0]), (1, [3.0, 0.0]), (2, [0.0, 1.0])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 4, 100)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 4, 100)
 
 
 def test_large_scores_are_exact():
