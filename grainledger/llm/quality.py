@@ -145,8 +145,11 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Quality
     ratio = np.log(share[1] / share[0])
     draw = F.xxhash64("doc_id", F.lit(7))
     sample = None
+    # only labels of documents at hand are drawn from; both sides grow, so neither is broadcast
+    there = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
+    present = known.join(there.hint("merge"), "doc_id", "left_semi")
     for y in (0, 1):
-        some = known.where(F.col("y") == y).orderBy(draw, "doc_id").limit(fit_rows)
+        some = present.where(F.col("y") == y).orderBy(draw, "doc_id").limit(fit_rows)
         sample = some if sample is None else sample.union(some)
     picked = sample.toArrow()  # at most 2 * fit_rows pairs of numbers
     chosen = docs.sparkSession.createDataFrame(picked, "doc_id long, y int")
