@@ -315,12 +315,21 @@ def _without(text: str | None, gone: list[dict] | None) -> str | None:
 def drop_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with every passage but its kept occurrence cut out of text; a column n_chars follows the new text.
 
-    All rows stay, null texts stay null, and texts without a repeated passage stay as they are.
+    All rows stay, null texts stay null, and texts without a repeated passage stay as they are. Texts that share a
+    doc_id, or have none, are documents of their own here, behind all others.
     """
-    gone, doc = fresh(docs, "gone_spans", "gone_doc")
-    found = repeated_passages(docs, min_words).where("NOT kept")
+    gone, doc, own = fresh(docs, "gone_spans", "gone_doc", "gone_own")
+    number = F.col("doc_id").cast("long")
+    shared = settle(docs.groupBy(number.alias(own)).count().where(F.col(own).isNull() | (F.col("count") > 1)).select(own), "shared")
+    if shared.isEmpty():
+        docs_own = docs.withColumn(own, number)
+    else:  # a number made of the id and the text, above all usual ids
+        alone = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2)
+        marked = docs.join(shared.select(F.col(own).alias(doc)), number.eqNullSafe(F.col(doc)), "left_semi").withColumn(own, alone)
+        docs_own = docs.join(shared.select(F.col(own).alias(doc)), number.eqNullSafe(F.col(doc)), "left_anti").withColumn(own, number).union(marked)
+    found = repeated_passages(docs_own.select(F.col(own).alias("doc_id"), "text"), min_words).where("NOT kept")
     found = found.groupBy(F.col("doc_id").alias(doc)).agg(F.collect_set(F.struct("start", "end")).alias(gone))
-    joined = docs.join(found, docs.doc_id.cast("long").eqNullSafe(F.col(doc)), "left").drop(doc)
+    joined = docs_own.join(found, F.col(own) == F.col(doc), "left").drop(doc, own)
     at, spot = joined.columns.index("text"), joined.columns.index(gone)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
