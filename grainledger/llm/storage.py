@@ -18,11 +18,24 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="run-")
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame once and read it back: lineage is cut, and a lost executor costs only a file read."""
+#: How many rows Spark hands to a Python task at once.
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def settle(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
+    """Write a frame once and read it back: lineage is cut, and a lost executor costs only a file read.
+
+    With `batch`, Python tasks get so many rows at once while it is written: fewer where rows are wide.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH)
+    try:
+        if batch:
+            spark.conf.set(_BATCH, str(batch))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
