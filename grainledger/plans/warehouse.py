@@ -12,11 +12,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.feeds import FEEDS, REFERENCES, read_manifest, read_reference, scan_feed
-from ..sources.inventory import affected_partitions, cut_off, file_inventory
+from ..sources.inventory import affected_partitions, column_drift, cut_off, file_inventory
 from ..sources.tables import append_rows, read_table, try_read, write_table
 from . import marts, staging
 from .runs import DEGRADED, FAILED, RunRecord, gate, latest_run, utc_now
@@ -65,6 +65,9 @@ PARTITION_BY = {"fct_pos_line": "business_date"}
 
 RUN_LOG = "pipeline_run"
 
+#: Undeclared columns that a run's message names; dq_column_drift has them all.
+NAMED = 5
+
 
 def compose(source: Callable[[str], DataFrame], *names: str,
             settle: Callable[[str, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
@@ -122,24 +125,33 @@ def build_warehouse(spark: SparkSession, landing: str, out: str, allow_degraded:
         )
         return finish()
 
+    save("dq_column_drift", column_drift(made["file_inventory"], {f.name: f.schema.names for f in FEEDS.values()}))
     for name in REFERENCES:
         save(name, read_reference(spark, landing, name))
     for table, feed in RAW_TABLES.items():
         made[table] = scan_feed(spark, landing, FEEDS[feed], made["file_inventory"], before)
         check_scan(made[table], feed, made["file_inventory"])
+    lines = Observation()  # counted while the table is written
     for name, (builder, reads) in TABLES.items():
-        save(name, builder(*[made[r] for r in reads]))
+        df = builder(*[made[r] for r in reads])
+        save(name, df.observe(lines, F.count(F.lit(1)).alias("rows")) if name == "fct_pos_line" else df)
 
     delivered = (F.col("feed") == RAW_TABLES["raw_pos"]) & (F.col("read_status") == "OK")
     run.source_row_count = made["file_inventory"].where(delivered).agg(F.sum("actual_rows")).first()[0]
-    run.canonical_row_count = made["fct_pos_line"].count()
+    run.canonical_row_count = 0 if made["fct_pos_line"].isEmpty() else lines.get["rows"]  # nothing observed, no figure
     run.duplicate_count = run.source_row_count - run.canonical_row_count
     holes = bool(made["dq_missing_gateway_days"].take(1))
-    run.warning_count = run.bad_file_count + int(holes)
-    if run.status == DEGRADED:
-        run.message = (
-            f"built without {run.bad_file_count} unreadable file(s); see dq_affected_partitions"
-        )
+    undeclared = made["dq_column_drift"].where("finding = 'UNDECLARED'")
+    named = undeclared.orderBy("feed", "column").limit(NAMED + 1).collect()
+    run.warning_count = run.bad_file_count + int(holes) + (undeclared.count() if named else 0)
+    said = []
+    if run.bad_file_count:
+        said.append(f"built without {run.bad_file_count} unreadable file(s); see dq_affected_partitions")
+    if named:  # their values are in no table: a renamed column would otherwise read as NULL unnoticed
+        run.status = DEGRADED
+        columns = ", ".join(f"{r.feed}.{r.column}" for r in named[:NAMED]) + ("" if len(named) <= NAMED else ", ...")
+        said.append(f"undeclared column(s) not read: {columns}; see dq_column_drift")
+    run.message = "; ".join(said) or None
     return finish()
 
 
@@ -160,11 +172,11 @@ def open_warehouse(spark: SparkSession, out: str) -> DataFrame:
     latest = latest_run(log)
     latest.createOrReplaceTempView(RUN_LOG)
     run_id, published = latest.select("run_id").first().run_id, is_published(latest)
-    for name in ("file_inventory", "ingest_manifest", *REFERENCES, *TABLES):
+    for name in ("file_inventory", "ingest_manifest", "dq_column_drift", *REFERENCES, *TABLES):
         table = try_read(spark, f"{base}/{run_id}/{name}")
         if table is not None:
             table.createOrReplaceTempView(name)
-        elif published or name in ("file_inventory", "ingest_manifest"):
+        elif published and name != "dq_column_drift" or name in ("file_inventory", "ingest_manifest"):  # older runs lack it
             raise FileNotFoundError(f"run {run_id} is in the log, but its table {name} is missing")
         else:
             spark.catalog.dropTempView(name)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from datetime import datetime, timedelta, timezone
 
 import pandas as pd
@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 INVENTORY_COLUMNS = (
-    "path STRING, feed STRING, `partition` STRING, bytes BIGINT, actual_rows BIGINT, read_status STRING, error STRING"
+    "path STRING, feed STRING, `partition` STRING, bytes BIGINT, actual_rows BIGINT, read_status STRING, error STRING, "
+    "columns ARRAY<STRING>"
 )
 _ERROR_CHARS = 500
 
@@ -61,7 +62,7 @@ def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     stores: dict[tuple[str, str], fs.FileSystem] = {}
     for batch in batches:
-        rows, status, errors = [], [], []
+        rows, status, errors, columns = [], [], [], []
         for uri in batch["path"]:
             try:
                 at = urlparse(uri)
@@ -74,18 +75,22 @@ def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 else:
                     where = at.netloc + at.path if at.scheme != "hdfs" else at.path
                 with stores[store].open_input_file(where) as handle:
-                    rows.append(pq.read_metadata(handle).num_rows)
+                    footer = pq.read_metadata(handle)
+                    rows.append(footer.num_rows)
+                    columns.append(list(dict.fromkeys(c.split(".")[0] for c in (footer.schema.column(i).path for i in range(footer.num_columns)))))
                 status.append("OK")
                 errors.append(None)
             except Exception as exc:  # any failure to read the footer makes the file unusable
+                del rows[len(status) :], columns[len(status) :]
                 rows.append(None)
+                columns.append(None)
                 status.append("CORRUPT")
                 errors.append(str(exc)[:_ERROR_CHARS])
-        yield batch.assign(actual_rows=pd.array(rows, dtype="Int64"), read_status=status, error=errors)
+        yield batch.assign(actual_rows=pd.array(rows, dtype="Int64"), read_status=status, error=errors, columns=columns)
 
 
 def probe_footers(files: DataFrame) -> DataFrame:
-    """Add `actual_rows`, `read_status` and `error` by reading each file's footer on an executor.
+    """Add `actual_rows`, `read_status`, `error` and `columns` by reading each file's footer on an executor.
 
     The rows are tiny but each one costs a file open, so they are spread over a fixed number of
     tasks that adaptive coalescing leaves alone.
@@ -115,4 +120,34 @@ def file_inventory(spark: SparkSession, feeds: Mapping[str, str], before: str |
 
 def affected_partitions(inventory: DataFrame) -> DataFrame:
     """The unreadable files, by name. They are left out of the tables but never out of sight."""
-    return inventory.where(F.col("read_status") != "OK")
+    return inventory.where(F.col("read_status") != "OK").drop("columns")
+
+
+def column_drift(inventory: DataFrame, layouts: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(feed, column, finding, files, first_partition, last_partition): where files and declared layouts differ.
+
+    UNDECLARED: readable files hold a column that the layout lacks, for instance because it was renamed: its values are
+    not read. ABSENT: no readable file of the feed holds a declared column: it reads as NULL throughout. Names are
+    compared as Spark reads them, without regard to case. `layouts` maps feeds to their columns.
+    """
+    spark = inventory.sparkSession
+    names = [(feed, c, c.lower()) for feed, columns in layouts.items() for c in columns]
+    declared = spark.createDataFrame(names, "feed STRING, _declared STRING, _key STRING")  # the layouts' own size
+    files = inventory.where((F.col("read_status") == "OK") & F.col("feed").isin(*layouts))
+    held = files.select("feed", "partition", F.explode("columns").alias("_held")).groupBy(
+        F.col("feed").alias("_feed"), F.lower("_held").alias("_name")
+    ).agg(
+        F.min("_held").alias("_held"), F.count("*").alias("files"),
+        F.min("partition").alias("first_partition"), F.max("partition").alias("last_partition"),
+    )
+    seen = files.select("feed").distinct()
+    on = (F.col("feed") == F.col("_feed")) & (F.col("_key") == F.col("_name"))
+    both = declared.join(seen, "feed").join(held, on, "full").where("_declared IS NULL OR _held IS NULL")
+    return both.select(
+        F.coalesce("feed", "_feed").alias("feed"),
+        F.coalesce("_held", "_declared").alias("column"),
+        F.when(F.col("_declared").isNull(), "UNDECLARED").otherwise("ABSENT").alias("finding"),
+        F.coalesce("files", F.lit(0)).cast("bigint").alias("files"),
+        "first_partition",
+        "last_partition",
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ from grainledger.plans.runs import gate_frame, run_summary
 from grainledger.plans.staging import FAHRENHEIT_VENDORS, pos_lines
 from grainledger.plans.warehouse import register
 from grainledger.session import scratch_dir
-from grainledger.sources import affected_partitions, file_inventory, scan_feed, scan_files
+from grainledger.sources import affected_partitions, column_drift, file_inventory, scan_feed, scan_files
 from grainledger.sources.feeds import Feed, read_csv
 
 from .feeds import table, warehouse_table, warehouse_tables
@@ -87,6 +88,51 @@ def _(spark, d):
     )
 
 
+#: A feed of events with a folder a day: from 16 January 2024 on `value` is renamed, and one file is damaged.
+DRIFTED = Feed("events", "events", "dt", "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, note STRING")
+
+
+def drifted_landing(spark: SparkSession, d: str) -> str:
+    path = scratch_dir(spark, "drifted-landing")
+    events = table(spark, d, "events").drop("props").withColumn("dt", F.col("ts").cast("date")).repartition("dt")
+    late = F.col("dt") >= F.lit("2024-01-16").cast("date")
+    for part in (events.where(~late), events.where(late).withColumnRenamed("value", "reading")):
+        part.write.mode("append").partitionBy("dt").parquet(f"{path}/events")
+    store, folder = FileSystem.from_uri(path)
+    store.create_dir(f"{folder}/events/dt=2024-01-16")
+    with store.open_output_stream(f"{folder}/events/dt=2024-01-16/part-damaged.parquet") as out:
+        out.write(b"PAR1 and no footer")
+    return path
+
+
+@key(
+    "scan_damaged_feed",
+    "SELECT event_type, CAST(ts AS DATE) AS dt, count(*) AS n, "
+    + money("CASE WHEN CAST(ts AS DATE) < DATE '2024-01-16' THEN value END")
+    + " AS total, count(*) FILTER (CAST(ts AS DATE) >= DATE '2024-01-16' OR value IS NULL) AS unread FROM events GROUP BY ALL",
+)
+def _(spark, d):
+    landing = drifted_landing(spark, d)
+    scanned = scan_feed(spark, landing, DRIFTED, file_inventory(spark, {"events": f"{landing}/events"}))
+    return scanned.groupBy("event_type", "dt").agg(
+        F.count("*").alias("n"), exact_sum("value").alias("total"), F.count_if(F.col("value").isNull()).alias("unread")
+    )
+
+
+@key(
+    "column_drift",
+    "WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS dt FROM events), late AS (FROM days WHERE dt >= DATE '2024-01-16')"
+    " SELECT 'events' AS feed, 'reading' AS \"column\", 'UNDECLARED' AS finding, count(*) AS files,"
+    " 'dt=' || min(dt) AS first_partition, 'dt=' || max(dt) AS last_partition FROM late HAVING count(*) > 0"
+    " UNION ALL SELECT 'events', 'note', 'ABSENT', 0, NULL, NULL"
+    " UNION ALL SELECT 'events', 'value', 'ABSENT', 0, NULL, NULL WHERE NOT EXISTS (FROM days WHERE dt < DATE '2024-01-16')",
+)
+def _(spark, d):
+    landing = drifted_landing(spark, d)
+    layouts = {DRIFTED.name: [c for c in DRIFTED.schema.names if c != DRIFTED.partition]}
+    return column_drift(file_inventory(spark, {"events": f"{landing}/events"}), layouts)
+
+
 @key(
     "scan_union_by_name",
     "SELECT doc_id, lang, source, n_chars, quality, toxic FROM (SELECT * FROM documents UNION ALL BY NAME SELECT * FROM labels)",
@@ -664,6 +710,15 @@ question(
     " count(*) AS converted_lines FROM pos_line JOIN m ON CAST(date_trunc('month', business_date) AS DATE) = month_start"
     " WHERE conversion_status <> 'UNKNOWN' GROUP BY ALL",
 )
+question(
+    "q03_units_whole_month",
+    "q03_units_eaches",
+    "WITH m AS (SELECT CAST(date_trunc('month', max(business_date) + 1) - INTERVAL 1 MONTH AS DATE) AS month_start FROM pos_line)"
+    " SELECT month_start, coalesce(outlet_channel_asof, till_channel) AS channel, round(" + money("eaches") + ", 2) AS units_eaches,"
+    " count(*) AS converted_lines FROM pos_line JOIN m ON CAST(date_trunc('month', business_date) AS DATE) = month_start"
+    " WHERE conversion_status <> 'UNKNOWN' GROUP BY ALL",
+    complete_only="true",
+)
 question(
     "q04_cold_chain",
     "q04_cold_chain_excursion",

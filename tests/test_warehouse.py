@@ -1,8 +1,10 @@
 import datetime as dt
+import glob
 import os
 import shutil
 import time
 
+import pyarrow.parquet as pq
 import pytest
 
 from grainledger.plans import checks
@@ -172,6 +174,34 @@ def test_failed_run_hides_the_tables_of_an_earlier_one(spark, scratch):
     assert spark.read.parquet(f"{scratch}/out/pipeline_run").count() == 2
 
 
+def test_an_undeclared_rename_degrades_the_run(spark, scratch):
+    write_landing(f"{scratch}/in", corrupt=False)
+    folder = f"{scratch}/in/raw/pos_transactions/ingest_date=2025-10-02"
+    path = f"{folder}/part-00000.parquet"
+    renamed = pq.read_table(path, partitioning=None).rename_columns(columns_with(path, {"uom": "unit_of_measure"}))
+    pq.write_table(renamed, path)
+    run = build_warehouse(spark, f"{scratch}/in", f"{scratch}/out")
+    assert run.status == DEGRADED and "pos_transactions.unit_of_measure" in run.message and run.bad_file_count == 0
+    open_warehouse(spark, f"{scratch}/out")
+    found = {(r.feed, r.column): r for r in spark.table("dq_column_drift").collect()}
+    row = found["pos_transactions", "unit_of_measure"]
+    assert (row.finding, row.files, row.first_partition) == ("UNDECLARED", 1, "ingest_date=2025-10-02")
+    assert {r.finding for k, r in found.items() if k != ("pos_transactions", "unit_of_measure")} <= {"ABSENT"}
+    assert run.canonical_row_count == spark.table("fct_pos_line").count() == 6
+
+
+def columns_with(path, names):
+    return [names.get(c, c) for c in pq.read_schema(path).names]
+
+
+def test_feeds_without_rows(spark, scratch):
+    write_landing(f"{scratch}/in", corrupt=False)
+    for path in glob.glob(f"{scratch}/in/raw/pos_transactions/*/*.parquet"):
+        pq.write_table(pq.read_table(path, partitioning=None).slice(0, 0), path)
+    run = build_warehouse(spark, f"{scratch}/in", f"{scratch}/out")
+    assert (run.status, run.source_row_count, run.canonical_row_count) == (SUCCESS, 0, 0)
+
+
 def test_opening_nothing_is_an_error(spark, scratch):
     with pytest.raises(FileNotFoundError):
         open_warehouse(spark, f"{scratch}/none")
