@@ -16,8 +16,8 @@ from .storage import settle
 
 #: Distinct vectors that the rotations are learned from, and components of all of them, at most. Every vector is indexed.
 SAMPLE, SAMPLE_COMPONENTS = 8_192, 1 << 22
-#: Rounds of learning a rotation.
-ROUNDS = 40
+#: Rounds of learning a rotation, the sampled vectors from which on a mean is trusted, and tables at most.
+ROUNDS, CENTRED, MOST_TABLES = 40, 1_000, 64
 #: Differing bits within which two words of a table meet: each vector is listed under all words one bit away.
 REACH = 2
 #: Rows of a bucket that are compared in one place; larger buckets are cut into parts, and every two parts meet.
@@ -65,30 +65,37 @@ class Codes:
 
         The pairs are made: every sampled vector gets a partner at that cosine in a random direction. The words are
         as long as the table is large (about one bucket for each row), so buckets do not grow with the input.
+        Vectors are centred, for balanced bits, unless that takes more tables (where all lie close to their mean, or
+        the sample is too small to tell).
         """
-        n, d = unit.shape
         rng = np.random.default_rng(seed)
         bits = int(np.clip(math.ceil(math.log2(max(rows, 2))), 12, 24))
         other = rng.standard_normal(unit.shape)
         other -= (other * unit).sum(1, keepdims=True) * unit
         length = np.linalg.norm(other, axis=1, keepdims=True)
         partner = threshold * unit + math.sqrt(1 - threshold**2) * other / np.where(length > 0, length, 1)
-        mean = unit.mean(0)
-        matrix = np.zeros((d, 0))
+        plain = cls._fitted(unit, partner, np.zeros(unit.shape[1]), bits, target, rng)
+        if len(unit) < CENTRED:
+            return plain
+        centred = cls._fitted(unit, partner, unit.mean(0), bits, target, rng)
+        return centred if centred.tables <= plain.tables else plain
+
+    @classmethod
+    def _fitted(cls, unit: np.ndarray, partner: np.ndarray, mean: np.ndarray, bits: int, target: float, rng: np.random.Generator) -> Codes:
+        matrix = np.zeros((unit.shape[1], 0))
         while True:
-            while matrix.shape[1] < bits:
-                matrix = np.hstack([matrix, rotation(unit - mean, rng)])
-            whole = matrix.shape[1] // bits * bits
-            codes = cls(mean, matrix[:, :whole], bits, 0)
+            matrix = np.hstack([matrix, rotation(unit - mean, rng)])
+            codes = cls(mean, matrix[:, : matrix.shape[1] // bits * bits], bits, 0)
+            if not codes.tables:
+                continue
             apart = np.bitwise_count(codes.words(unit) ^ codes.words(partner))
             met = np.logical_or.accumulate(apart <= REACH, axis=1)
             enough = np.flatnonzero(met.mean(0) >= target)
-            if len(enough) or codes.tables >= 64:
+            if len(enough) or codes.tables >= MOST_TABLES:
                 tables = int(enough[0]) + 1 if len(enough) else codes.tables
                 found = met[:, tables - 1]
                 reach = int(apart[found, :tables].sum(1, dtype=int).max(initial=REACH * tables))
                 return cls(mean, matrix[:, : tables * bits], bits, reach)
-            matrix = np.hstack([matrix, rotation(unit - mean, rng)])
 
 
 def unit_rows(column: pa.Array, size: int) -> np.ndarray:
