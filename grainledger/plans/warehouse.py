@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -130,7 +131,7 @@ def build_warehouse(spark: SparkSession, landing: str, out: str, allow_degraded:
         save(name, read_reference(spark, landing, name))
     for table, feed in RAW_TABLES.items():
         made[table] = scan_feed(spark, landing, FEEDS[feed], made["file_inventory"], before)
-        check_scan(made[table], feed, made["file_inventory"])
+    check_scans({feed: made[table] for table, feed in RAW_TABLES.items()}, made["file_inventory"])
     lines = Observation()  # counted while the table is written
     for name, (builder, reads) in TABLES.items():
         df = builder(*[made[r] for r in reads])
@@ -155,12 +156,15 @@ def build_warehouse(spark: SparkSession, landing: str, out: str, allow_degraded:
     return finish()
 
 
-def check_scan(scanned: DataFrame, feed: str, inventory: DataFrame) -> None:
-    """The scan must hold the rows that the gate has counted, from footers on both sides."""
-    ok = inventory.where((F.col("feed") == feed) & (F.col("read_status") == "OK"))
-    expected, found = ok.agg(F.sum("actual_rows")).first()[0], scanned.count()
-    if expected != found:
-        raise RuntimeError(f"{feed}: the inventory counted {expected} rows and the scan found {found}")
+def check_scans(scans: Mapping[str, DataFrame], inventory: DataFrame) -> None:
+    """Every scan must hold the rows that the gate has counted, from footers on both sides: one job for all feeds."""
+    counted = [df.agg(F.count("*").alias("found")).select(F.lit(feed).alias("feed"), "found") for feed, df in scans.items()]
+    expected = inventory.where("read_status = 'OK'").groupBy("feed").agg(F.sum("actual_rows").alias("expected"))
+    both = reduce(DataFrame.unionAll, counted).join(expected, "feed", "left")
+    wrong = both.where(~F.col("found").eqNullSafe(F.col("expected"))).collect()  # a row for each feed at most
+    if wrong:
+        said = "; ".join(f"{r.feed}: the inventory counted {r.expected} rows and the scan found {r.found}" for r in wrong)
+        raise RuntimeError(said)
 
 
 def open_warehouse(spark: SparkSession, out: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 from grainledger.plans import checks
 from grainledger.plans.catalogue import METRICS, QUESTIONS, list_metrics, list_questions, run_metric, run_sql
 from grainledger.plans.runs import DEGRADED, FAILED, SUCCESS, gate
-from grainledger.plans.warehouse import TABLES, build_warehouse, check_scan, is_published, open_warehouse
+from grainledger.plans.warehouse import TABLES, build_warehouse, check_scans, is_published, open_warehouse
 from grainledger.sources import FEEDS, affected_partitions, file_inventory, read_manifest, read_reference, scan_feed, scan_files
 from grainledger.sources.inventory import cut_off, path_exists
 from grainledger.sources.tables import try_read, write_table
@@ -111,9 +111,9 @@ def test_a_late_file_belongs_to_the_next_run(spark, scratch):
     os.utime(late, (time.time() + 60, time.time() + 60))
     scanned = scan_feed(spark, scratch, FEEDS["reefer_telemetry"], inventory, before)
     assert scanned.count() == rows
-    check_scan(scanned, "reefer_telemetry", inventory)
+    check_scans({"reefer_telemetry": scanned}, inventory)
     with pytest.raises(RuntimeError, match="reefer_telemetry"):
-        check_scan(scan_feed(spark, scratch, FEEDS["reefer_telemetry"], inventory), "reefer_telemetry", inventory)
+        check_scans({"reefer_telemetry": scan_feed(spark, scratch, FEEDS["reefer_telemetry"], inventory)}, inventory)
 
 
 def test_repeated_factors_are_refused(spark, scratch):
