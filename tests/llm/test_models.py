@@ -226,3 +226,11 @@ def test_copies_without_blanks_or_beside_other_signs(spark, prose):
     rows = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
     assert {(r.doc_id % 20, r.edits) for r in rows if r.doc_id % 20 == r.item_id} == {(i, 0) for i, _ in items}
     assert {r.doc_id for r in rows if r.doc_id % 20 == r.item_id} == {i for i, _ in docs}
+
+
+def test_quality_learns_from_labels_of_documents_at_hand(spark, prose):
+    docs = [(i, prose(i, 60) if i % 2 else "zq 9# " * (20 + i % 7)) for i in range(300)]
+    labels = [(i, i % 2) for i in range(300)] + [(i, i % 2) for i in range(10_000, 40_000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = quality.quality_scores(df, spark.createDataFrame(labels, "doc_id long, quality int"), fit_rows=60).collect()
+    assert sum(r.predicted == r.doc_id % 2 for r in found) > 290

@@ -152,3 +152,14 @@ def test_copy_whose_parts_stand_in_earlier_documents(spark, prose):
         assert not any(d in (at, at + 1, at + 2) for d, _, _ in spans)
     after = {r.doc_id: r.text for r in substrings.drop_repeats(df).collect()}
     assert all(whole in after[at + 10] and whole[100:200] not in after[at + 20] + after[at + 30] for at, whole in pairs)
+
+
+def test_texts_that_share_an_id_keep_what_they_alone_have(spark, prose):
+    a, b, c = prose(1, 120), prose(2, 90), prose(3, 220)
+    rows = [(1, a), (5, f"{b} {a}"), (5, c), (None, f"{prose(4, 80)} {a}"), (None, prose(5, 300)), (7, prose(6, 60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = sorted((r.text for r in substrings.drop_repeats(df).collect()), key=len)
+    kept = {t for _, t in rows} - {rows[1][1], rows[3][1]}
+    assert kept < set(out) and len(out) == len(rows)
+    cut = [t for t in out if t not in kept]
+    assert all(a not in t for t in cut) and sorted(len(t.split()) for t in cut) == [80, 90]
