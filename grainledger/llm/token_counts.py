@@ -156,9 +156,10 @@ class Transducer:
         return out
 
     def run(self, state: int, text: str) -> tuple[int, int]:
-        total, step = 0, self.step
+        total, moves = 0, self.moves
         for char in text:
-            state, delta = step(state, char)
+            found = moves[state].get(char)
+            state, delta = self.step(state, char) if found is None else found
             total += delta
         return state, total
 
