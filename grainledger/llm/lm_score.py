@@ -3,115 +3,97 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .prefilter import likely
+from .storage import settle
 from .textscan import WORD, mix, slices, span_hashes, spans, text_bytes
 
-#: Words of the shared vocabulary: the most frequent of the target text. All others are one unknown word.
-VOCABULARY = 1 << 16
-#: Hashed counters of word pairs, of each model.
-PAIR_BITS = 20
 #: Weight of the single-word model in the pair model, in pairs.
 PRIOR = 32.0
+#: Pairs with at least this share of all pairs of the background (so at most 1 / FREQUENT of them) are scored in the task that
+#: reads the text; all others meet their counts in a join. Which way a pair goes does not change its loss.
+FREQUENT = 2.0**-17
+#: Words that lead or end at least this share of the distinct pairs (so at most 1 / HOT of them) are joined by broadcast.
+HOT = 2.0**-10
+#: What stands before the first word of a text.
+START = 0
 
 
 def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
     """(hash, row) of all words of a text column, lower-cased, and the number of rows."""
     data, offsets = text_bytes(pc.utf8_lower(column.fill_null("")))
     starts, ends, rows = spans(data, offsets, WORD)
-    return span_hashes(data, starts, ends), rows, len(offsets) - 1
+    return span_hashes(data, starts, ends).view(np.int64), rows, len(offsets) - 1
 
 
-def _ids(hashes: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    """Places in the sorted vocabulary; its length for unknown words."""
-    if not len(vocabulary):
-        return np.zeros(len(hashes), np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == hashes, at, len(vocabulary))
-
-
-def _before(ids: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    """The word before each word; a sign of its own at the start of a text."""
-    before = np.full(len(ids), size + 1, np.int64)
+def word_pairs(column: pa.Array, by_row: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(before, word, row, n) of the distinct pairs of a column, or of each of its rows, and the number of words a row."""
+    found, rows, size = words(column)
+    before = np.full(len(found), START, np.int64)
     same = rows[1:] == rows[:-1]
-    before[1:][same] = ids[:-1][same]
-    return before
-
+    before[1:][same] = found[:-1][same]
+    known, place = np.unique(np.concatenate([before, found]), return_inverse=True)
+    pair = place[: len(found)] * len(known) + place[len(found) :]
+    if by_row:  # distinct pairs first, so that the key of a row's pair fits in 64 bits
+        pair = rows * (len(found) + 1) + np.unique(pair, return_inverse=True)[1]
+    _, first, n = np.unique(pair, return_index=True, return_counts=True)
+    return before[first], found[first], rows[first], n, np.bincount(rows, minlength=size)
 
-def _pairs(before: np.ndarray, ids: np.ndarray, size: int) -> np.ndarray:
-    return (mix((before * (size + 2) + ids).astype(np.uint64)) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
 
-
-def vocabulary(target: DataFrame, most: int = VOCABULARY) -> np.ndarray:
-    """Sorted hashes of the most frequent words of the target; ties go to the smaller hash."""
+def _counts(text: DataFrame) -> DataFrame:
+    """(v, w, n): pairs of neighbouring words, v before w, counted a strip of text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                word, count = np.unique(words(part.column(0))[0], return_counts=True)
-                yield pa.record_batch([pa.array(word.view(np.int64)), pa.array(count)], names=["word", "n"])
+            for part in slices(batch, "text", 1 << 22):
+                v, w, _, n, _ = word_pairs(part.column(0), by_row=False)
+                yield pa.record_batch([pa.array(v), pa.array(w), pa.array(n)], names=["v", "w", "n"])
+
+    return text.select("text").mapInArrow(work, "v long, w long, n long")
 
-    counts = target.select("text").mapInArrow(work, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(most).select("word").toArrow()
-    return np.sort(np.asarray(top["word"], np.int64).view(np.uint64))
 
+def pair_counts(target: DataFrame, background: DataFrame) -> DataFrame:
+    """(v, w, t, b): how often w follows v in the target and in the background; every pair of either text."""
+    both = _counts(target).selectExpr("v", "w", "n AS t", "0L AS b").union(
+        _counts(background).selectExpr("v", "w", "0L AS t", "n AS b")
+    )
+    return both.groupBy("v", "w").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
 
-@dataclass
-class Model:
-    """Counts of one text: of words, of words that something follows, and of hashed pairs."""
 
-    single: np.ndarray
-    first: np.ndarray
-    pair: np.ndarray
+def _beside(some: DataFrame, pairs: DataFrame, key: str, distinct: int) -> DataFrame:
+    """`some` pairs with the sums over all pairs of the same `key`: t_<key> and b_<key>.
 
-    def loss(self, before: np.ndarray, ids: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-        """-ln p(word | word before): pair counts with a prior of PRIOR words of the single-word model."""
-        alone = (self.single[ids] + 1) / (self.single.sum() + len(self.single))
-        return -np.log((self.pair[pairs] + PRIOR * alone) / (self.first[before] + PRIOR))
+    A word may stand in a large part of all pairs: at most 1 / HOT such words are joined by broadcast, the rest by key.
+    """
+    sums = pairs.groupBy(key).agg(F.sum("t").alias("t_" + key), F.sum("b").alias("b_" + key), F.count("*").alias("_held"))
+    hot = F.broadcast(sums.where(F.col("_held") >= max(2.0, HOT * distinct)).drop("_held"))
+    rare = sums.where(F.col("_held") < max(2.0, HOT * distinct)).drop("_held")
+    return some.join(hot, key).unionByName(some.join(hot, key, "left_anti").join(rare, key))
 
 
-def _counts(text: DataFrame, vocab: np.ndarray) -> DataFrame:
-    """(key, n): pairs first, then words, then words before."""
-    size, width = len(vocab), 1 << PAIR_BITS
-    shared = text.sparkSession.sparkContext.broadcast(vocab)
+def _loss(seen: str, word: str, before: str, total: int, vocabulary: int) -> Column:
+    """-ln p(word | word before): pair counts with a prior of PRIOR words of the single-word model."""
+    alone = (F.col(word) + 1) / F.lit(float(total + vocabulary))
+    return -F.ln((F.col(seen) + PRIOR * alone) / (F.col(before) + PRIOR))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(width + 2 * (size + 2), np.int64)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                hashes, rows, _ = words(part.column(0))
-                ids = _ids(hashes, shared.value)
-                before = _before(ids, rows, size)
-                for keys in (_pairs(before, ids, size), width + ids, width + size + 2 + before):
-                    sums += np.bincount(keys, minlength=len(sums))
-        used = np.flatnonzero(sums)
-        for at in range(0, len(used), 100_000):
-            some = used[at : at + 100_000]
-            yield pa.record_batch([pa.array(some), pa.array(sums[some])], names=["key", "n"])
-
-    return text.select("text").mapInArrow(work, "key long, n long")
-
-
-def fit(target: DataFrame, background: DataFrame, vocab: np.ndarray) -> tuple[Model, Model]:
-    """Models of both texts with the same vocabulary, order, smoothing and hashing, counted over all their rows."""
-    size, width = len(vocab), 1 << PAIR_BITS
-    both = _counts(target, vocab).selectExpr("key", "n AS t", "0L AS b").union(
-        _counts(background, vocab).selectExpr("key", "0L AS t", "n AS b")
-    )
-    found = both.groupBy("key").agg(F.sum("t").alias("t"), F.sum("b").alias("b")).toArrow()  # of fixed size
-    models = []
-    for name in ("t", "b"):
-        sums = np.zeros(width + 2 * (size + 2))
-        sums[np.asarray(found["key"])] = np.asarray(found[name])
-        models.append(Model(sums[width : width + size + 2], sums[width + size + 2 :], sums[:width]))
-    return models[0], models[1]
+
+def losses(pairs: DataFrame, of: Column | None = None) -> DataFrame:
+    """(v, w, lt, lb): the losses of w after v under both models, of all pairs or of those that `of` selects.
+
+    Both models have the same words (all of either text), order and smoothing. For each word before, the probabilities
+    of all words add up to one.
+    """
+    sums = pairs.agg(F.sum("t"), F.sum("b"), F.count_distinct("w"), F.count("*")).first()
+    t, b, vocabulary, distinct = (int(x or 0) for x in sums)
+    some = pairs if of is None else pairs.where(of)
+    rows = _beside(_beside(some, pairs, "w", distinct), pairs, "v", distinct)
+    return rows.select("v", "w", _loss("t", "t_w", "t_v", t, vocabulary).alias("lt"), _loss("b", "b_w", "b_v", b, vocabulary).alias("lb"))
 
 
 def labelled(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -120,38 +102,70 @@ def labelled(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return likely(rows, "doc_id", ids).join(ids.distinct().hint("merge"), "doc_id", "left_semi").select("text")
 
 
+def _key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(v.view(np.uint64) * np.uint64(3) + mix(w.view(np.uint64)))
+
+
+def _frequent(pairs: DataFrame) -> tuple[np.ndarray, ...]:
+    """(key, v, w, lt, lb) of the frequent pairs by key: at most 1 / FREQUENT, whatever the input."""
+    total = pairs.agg(F.sum("b")).first()[0] or 0
+    found = losses(pairs, F.col("b") >= max(2.0, FREQUENT * total)).toArrow()
+    v, w = (np.asarray(found[c], np.int64) for c in "vw")
+    key, first = np.unique(_key(v, w), return_index=True)  # a pair whose key is taken goes by the join
+    return key, v[first], w[first], np.asarray(found["lt"])[first], np.asarray(found["lb"])[first]
+
+
 def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
     """doc_id, n_words, target_loss, background_loss, difference of every row of docs.
 
     target is a frame of texts; the background is all of docs. Losses are means a word of -ln p under pair models that
-    share the vocabulary; difference is target_loss - background_loss, lower for texts like the target. Words are runs
-    of letters, digits and characters beyond ASCII, lower-cased.
+    share the vocabulary, all words of both texts; difference is target_loss - background_loss, lower for texts like the
+    target. Words are runs of letters, digits and characters beyond ASCII, lower-cased. Counts are exact (words are known
+    by 64-bit hashes) and grow with the input: they are a table, written to the shared folder, which texts meet in a join.
 
     A null or empty text has no words, losses of 0 and a difference of 0. Repeated rows get their rows and count as
-    often; a null doc_id keeps its row; without target texts all words are unknown to both models; an empty table
-    gives no rows; extra columns are not looked at.
+    often; a null doc_id keeps its row; without target texts all words are alike to the target's model; an empty table
+    gives no rows; extra columns are not looked at. A very long text is one row of Python work, as long as it is.
     """
-    vocab = vocabulary(target)
-    models = fit(target, docs, vocab)
-    size = len(vocab)
-    plain = [(m.single, m.first, m.pair.astype(np.float32)) for m in models]
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, plain))
+    pairs = settle(pair_counts(target, docs), "pairs")
+    shared = docs.sparkSession.sparkContext.broadcast(_frequent(pairs))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, tables = shared.value
+        keys, first, second, target_loss, background_loss = shared.value
+        names = ["doc_id", "digest", "v", "w", "head", "n", "t", "b"]
         for batch in batches:
-            for part in slices(batch, "text"):
-                hashes, rows, n = words(part.column(1))
-                ids = _ids(hashes, known)
-                before = _before(ids, rows, size)
-                pairs = _pairs(before, ids, size)
-                count = np.bincount(rows, minlength=n)
-                t, b = (np.bincount(rows, Model(*m).loss(before, ids, pairs), n) / np.maximum(count, 1) for m in tables)
+            for part in slices(batch, "text", 1 << 21):
+                ids, digest = part.column(0), part.column(1)
+                v, w, rows, n, count = word_pairs(part.column(2), by_row=True)
+                here = np.zeros(len(v), bool)
+                sums = [np.zeros(len(count)), np.zeros(len(count))]
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, _key(v, w)), len(keys) - 1)
+                    here = (first[at] == v) & (second[at] == w)
+                    sums = [np.bincount(rows[here], x[at[here]] * n[here], len(count)).astype(float) for x in (target_loss, background_loss)]
+                rest, own = ~here, pa.array(rows[~here])
+                # a row for each text, with what is known of it, and one for each pair that is looked up
                 yield pa.record_batch(
-                    [part.column(0), *map(pa.array, (count, t, b, t - b))],
-                    names=["doc_id", "n_words", "target_loss", "background_loss", "difference"],
+                    [ids, digest, digest, digest, pa.array(np.ones(len(count), bool)), pa.array(count), *map(pa.array, sums)], names=names
+                )
+                none = pa.array(np.zeros(int(rest.sum())))
+                yield pa.record_batch(
+                    [ids.take(own), digest.take(own), pa.array(v[rest]), pa.array(w[rest]), pa.array(here[rest]), pa.array(n[rest]), none, none],
+                    names=names,
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, n_words long, target_loss double, background_loss double, difference double"
-    return rows.mapInArrow(work, schema)
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("digest"), text.alias("text"))
+    parts = rows.mapInArrow(work, "doc_id long, digest long, v long, w long, head boolean, n long, t double, b double")
+    looked_up = losses(pairs, F.col("b") > 0).withColumn("head", F.lit(False))
+    scored = parts.join(looked_up, ["v", "w", "head"], "left")
+    # rows of one id and one text are repeated rows with the same losses: their sums are divided by all their words
+    each = scored.groupBy("doc_id", "digest").agg(
+        F.count_if("head").alias("rows"),
+        F.sum(F.when(F.col("head"), F.col("n")).otherwise(0)).alias("n"),
+        *(F.sum(F.when(F.col("head"), F.col(x)).otherwise(F.col("n") * F.col("l" + x))).alias(x) for x in "tb"),
+    )
+    mean = [(F.col(x) / F.greatest("n", F.lit(1))).alias(name) for x, name in (("t", "target_loss"), ("b", "background_loss"))]
+    out = each.select("doc_id", (F.col("n") / F.col("rows")).cast("long").alias("n_words"), *mean, F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("_"))
+    return out.select("doc_id", "n_words", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("difference"))

@@ -1,56 +1,90 @@
 """Language-model scores, quality, toxicity and leaks: brute force and held-out accuracy."""
 
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from grainledger.llm import decontam, linear, lm_score, quality, toxicity
+from grainledger.llm import decontam, linear, lm_score, quality, queries, toxicity
 
 
 def read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def test_language_models_equal_brute_force(spark, awkward, no_docs, prose):
-    docs = awkward.select("doc_id", "text").union(spark.createDataFrame([(i, prose(i, 40, 60)) for i in range(20, 40)], "doc_id long, text string"))
-    target = docs.where("doc_id BETWEEN 20 AND 24").select("text")
-    vocab = lm_score.vocabulary(target)
-    texts = [(r.doc_id, r.text) for r in docs.collect()]
+def plain_losses(target, texts):
+    """[(words, target loss, background loss)] of texts, from counts of words in dictionaries."""
 
-    def ids(text):
-        hashes, rows, _ = lm_score.words(pa.array([text], pa.string()))
-        return lm_score._ids(hashes, vocab)
+    def split(text):
+        return re.findall(r"[a-z0-9\u0080-\U0010ffff]+", (text or "").lower())
 
     def counts(some):
-        single, first, pair = {}, {}, {}
-        for t in some:
-            before = len(vocab) + 1
-            for w in ids(t).tolist():
-                slot = int(lm_score._pairs(np.array([before]), np.array([w]), len(vocab))[0])
-                single[w] = single.get(w, 0) + 1
-                first[before] = first.get(before, 0) + 1
-                pair[slot] = pair.get(slot, 0) + 1
-                before = w
+        single, first, pair = Counter(), Counter(), Counter()
+        for own in map(split, some):
+            single.update(own)
+            first.update(["<s>", *own][: len(own)])
+            pair.update(zip(["<s>", *own], own))
         return single, first, pair
 
-    def loss(model, text):
+    models = counts(target), counts(texts)
+    vocabulary = len(set(models[0][0]) | set(models[1][0]))
+
+    def loss(model, own):
         single, first, pair = model
-        total, before, own = 0.0, len(vocab) + 1, ids(text).tolist()
-        for w in own:
-            slot = int(lm_score._pairs(np.array([before]), np.array([w]), len(vocab))[0])
-            alone = (single.get(w, 0) + 1) / (sum(single.values()) + len(vocab) + 2)
-            total -= np.log((pair.get(slot, 0) + 32 * alone) / (first.get(before, 0) + 32))
-            before = w
-        return total / max(len(own), 1), len(own)
-
-    models = counts([r.text for r in target.collect()]), counts([t for _, t in texts])
-    want = sorted((i or -1, *(round(loss(m, t)[0], 4) for m in models), loss(models[0], t)[1]) for i, t in texts)
+        size = sum(single.values()) + vocabulary
+        return sum(-math.log((pair[v, w] + 32 * (single[w] + 1) / size) / (first[v] + 32)) for v, w in zip(["<s>", *own], own)) / max(len(own), 1)
+
+    return [(len(own), *(loss(m, own) for m in models)) for own in map(split, texts)]
+
+
+@pytest.mark.parametrize("frequent, hot", [(lm_score.FREQUENT, lm_score.HOT), (2.0, 2.0), (0.01, 0.01)])
+def test_language_models_equal_brute_force(spark, awkward, no_docs, prose, monkeypatch, frequent, hot):
+    """Whether all pairs, some or none are scored where they stand, and whichever words are joined by broadcast."""
+    monkeypatch.setattr(lm_score, "FREQUENT", frequent)
+    monkeypatch.setattr(lm_score, "HOT", hot)
+    docs = awkward.select("doc_id", "text").union(spark.createDataFrame([(i, prose(i, 40, 60)) for i in range(20, 40)], "doc_id long, text string"))
+    target = docs.where("doc_id BETWEEN 20 AND 24").select("text")
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    plain = plain_losses([r.text for r in target.collect()], [t for _, t in texts])
+    want = sorted((-1 if i is None else i, n, round(t, 6), round(b, 6)) for (i, _), (n, t, b) in zip(texts, plain))
     got = lm_score.cross_entropy_difference(docs, target).collect()
-    assert sorted((r.doc_id or -1, round(r.target_loss, 4), round(r.background_loss, 4), r.n_words) for r in got) == want
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, round(r.target_loss, 6), round(r.background_loss, 6)) for r in got) == want
     assert all(abs(r.difference - (r.target_loss - r.background_loss)) < 1e-12 for r in got)
     assert lm_score.cross_entropy_difference(no_docs, no_docs.select("text")).count() == 0
+    assert lm_score.cross_entropy_difference(docs, no_docs.select("text")).count() == len(texts)
+
+
+def test_probabilities_after_a_word_add_up_to_one(spark):
+    docs = read(spark, "/root/testdata/sf0.001", "documents").select("text")
+    pairs = lm_score.settle(lm_score.pair_counts(docs.limit(50), docs), "pairs").cache()
+    t, b, vocabulary = pairs.selectExpr("sum(t)", "sum(b)", "count(DISTINCT w)").first()
+    seen = lm_score.losses(pairs).join(pairs, ["v", "w"]).join(pairs.groupBy("w").agg(F.sum("t").alias("wt"), F.sum("b").alias("wb")), "w")
+    by_before = pairs.groupBy("v").agg(F.sum("t").alias("vt"), F.sum("b").alias("vb"))
+    sums = seen.groupBy("v").agg(
+        *(F.sum(F.exp(-F.col("l" + x))).alias("p" + x) for x in "tb"),
+        *(F.sum((F.col("w" + x) + 1) / (n + vocabulary)).alias("a" + x) for x, n in (("t", t), ("b", b))),
+    ).join(by_before, "v")
+    for r in sums.collect():  # words that never follow v have only the prior
+        for p, alone, n in ((r.pt, r.at, r.vt), (r.pb, r.ab, r.vb)):
+            assert abs(p + (1 - alone) * 32 / (n + 32) - 1) < 1e-9
+    assert pairs.count() > 1000
+
+
+def test_language_models_count_all_of_a_table(spark):
+    """Exact on a whole table: nothing is folded, hashed together or left out."""
+    sf_dir = "/root/testdata/sf0.001"
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    good = {r.doc_id for r in labels.where("quality = 1").collect()}
+    rows = docs.select("doc_id", "text").collect()
+    plain = plain_losses([r.text for r in rows if r.doc_id in good], [r.text for r in rows])
+    want = sorted((r.doc_id, n, round(t, 6), round(b, 6)) for r, (n, t, b) in zip(rows, plain))
+    got = queries.QUERIES["op2_lm_scoring"](spark, sf_dir).collect()
+    assert sorted((r.doc_id, r.n_words, round(r.target_loss, 6), round(r.background_loss, 6)) for r in got) == want
 
 
 def test_quality_on_held_out_rows(spark):
