@@ -1,28 +1,37 @@
-"""Cross-entropy difference: matched n-gram models of a target and a background text share one vocabulary."""
+"""Cross-entropy difference: matched n-gram models of a target and a background text share one vocabulary.
+
+Counts are exact at any size, and no table of them is ever in one place. Pairs of words travel once, packed, to the bucket of
+their second word, where the counts of the word and of its pairs are added up and turned into losses; only sums by text
+travel back. A word or pair that holds a large share of the corpus is counted beforehand and never sent: there are at most
+1 / COMMON of each.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .prefilter import likely
 from .storage import settle
 from .textscan import WORD, mix, slices, span_hashes, spans, text_bytes
 
 #: Weight of the single-word model in the pair model, in pairs.
 PRIOR = 32.0
-#: Pairs with at least this share of all pairs of the background (so at most 1 / FREQUENT of them) are scored in the task that
-#: reads the text; all others meet their counts in a join. Which way a pair goes does not change its loss.
-FREQUENT = 2.0**-17
-#: Words that lead or end at least this share of the distinct pairs (so at most 1 / HOT of them) are joined by broadcast.
-HOT = 2.0**-10
-#: What stands before the first word of a text.
-START = 0
+#: Share of all words from which a word, or a pair of such words, is common. Its losses are the same either way.
+COMMON = 2.0**-13
+#: Words of the corpus a bucket, and buckets a task.
+BUCKET_WORDS, BUCKETS = 1 << 20, 8
+#: Text handled at once, and pairs a row that travels.
+STRIP_BYTES, ROW_PAIRS = 1 << 22, 1024
+#: Ids of the target that are broadcast at most; more are joined.
+BROADCAST_IDS = 1 << 20
+#: Codes that stand for no word: what precedes a text's first word, and what follows its last. Common words come next.
+START, LAST, FIRST_WORD = 0, 1, 2
 
 
 def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
@@ -32,140 +41,263 @@ def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
     return span_hashes(data, starts, ends).view(np.int64), rows, len(offsets) - 1
 
 
-def word_pairs(column: pa.Array, by_row: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(before, word, row, n) of the distinct pairs of a column, or of each of its rows, and the number of words a row."""
-    found, rows, size = words(column)
-    before = np.full(len(found), START, np.int64)
-    same = rows[1:] == rows[:-1]
-    before[1:][same] = found[:-1][same]
-    known, place = np.unique(np.concatenate([before, found]), return_inverse=True)
-    pair = place[: len(found)] * len(known) + place[len(found) :]
-    if by_row:  # distinct pairs first, so that the key of a row's pair fits in 64 bits
-        pair = rows * (len(found) + 1) + np.unique(pair, return_inverse=True)[1]
-    _, first, n = np.unique(pair, return_index=True, return_counts=True)
-    return before[first], found[first], rows[first], n, np.bincount(rows, minlength=size)
-
-
-def _counts(text: DataFrame) -> DataFrame:
-    """(v, w, n): pairs of neighbouring words, v before w, counted a strip of text."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", 1 << 22):
-                v, w, _, n, _ = word_pairs(part.column(0), by_row=False)
-                yield pa.record_batch([pa.array(v), pa.array(w), pa.array(n)], names=["v", "w", "n"])
-
-    return text.select("text").mapInArrow(work, "v long, w long, n long")
-
-
-def pair_counts(target: DataFrame, background: DataFrame) -> DataFrame:
-    """(v, w, t, b): how often w follows v in the target and in the background; every pair of either text."""
-    both = _counts(target).selectExpr("v", "w", "n AS t", "0L AS b").union(
-        _counts(background).selectExpr("v", "w", "0L AS t", "n AS b")
-    )
-    return both.groupBy("v", "w").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
-
-
-def _beside(some: DataFrame, pairs: DataFrame, key: str, distinct: int) -> DataFrame:
-    """`some` pairs with the sums over all pairs of the same `key`: t_<key> and b_<key>.
+def marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text, target) of every row of docs: target where the doc_id is among the ids (one column, doc_id).
 
-    A word may stand in a large part of all pairs: at most 1 / HOT such words are joined by broadcast, the rest by key.
+    Few ids are broadcast, after counting them; for more the texts are joined once and written.
     """
-    sums = pairs.groupBy(key).agg(F.sum("t").alias("t_" + key), F.sum("b").alias("b_" + key), F.count("*").alias("_held"))
-    hot = F.broadcast(sums.where(F.col("_held") >= max(2.0, HOT * distinct)).drop("_held"))
-    rare = sums.where(F.col("_held") < max(2.0, HOT * distinct)).drop("_held")
-    return some.join(hot, key).unionByName(some.join(hot, key, "left_anti").join(rare, key))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    own = ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct().withColumn("target", F.lit(True))
+    few = own.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    both = rows.join(own.hint("broadcast" if few else "merge"), "doc_id", "left")
+    both = both.select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
+    return both if few else settle(both, "marked")
 
 
-def _loss(seen: str, word: str, before: str, total: int, vocabulary: int) -> Column:
-    """-ln p(word | word before): pair counts with a prior of PRIOR words of the single-word model."""
-    alone = (F.col(word) + 1) / F.lit(float(total + vocabulary))
-    return -F.ln((F.col(seen) + PRIOR * alone) / (F.col(before) + PRIOR))
+def _neighbours(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each word is the first and the last of its text."""
+    edge = np.ones(len(rows) + 1, bool)
+    edge[1:-1] = rows[1:] != rows[:-1]
+    return edge[:-1], edge[1:]
 
 
-def losses(pairs: DataFrame, of: Column | None = None) -> DataFrame:
-    """(v, w, lt, lb): the losses of w after v under both models, of all pairs or of those that `of` selects.
+def _word_counts(docs: DataFrame) -> DataFrame:
+    """(word, t, b, ft, fb): how often a word stands, and is followed by another, in the target and in all texts.
 
-    Both models have the same words (all of either text), order and smoothing. For each word before, the probabilities
-    of all words add up to one.
+    The code START has a row too: the texts that hold a word.
     """
-    sums = pairs.agg(F.sum("t"), F.sum("b"), F.count_distinct("w"), F.count("*")).first()
-    t, b, vocabulary, distinct = (int(x or 0) for x in sums)
-    some = pairs if of is None else pairs.where(of)
-    rows = _beside(_beside(some, pairs, "w", distinct), pairs, "v", distinct)
-    return rows.select("v", "w", _loss("t", "t_w", "t_v", t, vocabulary).alias("lt"), _loss("b", "b_w", "b_v", b, vocabulary).alias("lb"))
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", STRIP_BYTES):
+                found, rows, _ = words(part.column(0))
+                first, last = _neighbours(rows)
+                mark = np.asarray(part.column(1))[rows]
+                word, place = np.unique(np.append(found, START), return_inverse=True)
+                at, size = place[:-1], len(word)
+                sums = [np.bincount(at[keep], minlength=size) for keep in (mark, mark | True, mark & ~last, ~last)]
+                for counts, starts in ((sums[2], first & mark), (sums[3], first)):
+                    counts[place[-1]] += starts.sum()
+                yield pa.record_batch([pa.array(word), *map(pa.array, sums)], names=["word", "t", "b", "ft", "fb"])
+
+    rows = docs.select("text", "target").mapInArrow(work, "word long, t long, b long, ft long, fb long")
+    return rows.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("t", "b", "ft", "fb")))
+
+
+@dataclass
+class Model:
+    """Totals, and the counts of common words and pairs: of bounded size. Rows of the arrays: target, all texts."""
+
+    words: np.ndarray  # sorted hashes of the common words; word i has the code i + FIRST_WORD
+    alone: np.ndarray  # by code: PRIOR times the probability of a common word by itself
+    followed: np.ndarray  # by code: how often a common word, or START, is followed by a word
+    total: np.ndarray  # words and the size of the vocabulary, added up
+    pairs: np.ndarray  # sorted keys of the common pairs
+    seen: np.ndarray  # their counts
+    buckets: int
+
+    def codes(self, hashes: np.ndarray) -> np.ndarray:
+        """FIRST_WORD and up for common words; for others 63 bits of the hash as a negative number."""
+        other = hashes | np.int64(-(1 << 63))
+        if not len(self.words):
+            return other
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        return np.where(self.words[at] == hashes, at + FIRST_WORD, other)
+
+    def pair_keys(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+        return v * (len(self.words) + FIRST_WORD) + w
+
+
+def _common_pairs(docs: DataFrame, model: Model, least: float) -> None:
+    """Count the pairs of common words and keep those that are common themselves."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-def labelled(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """text of the rows whose doc_id is among the ids (one column, doc_id)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    return likely(rows, "doc_id", ids).join(ids.distinct().hint("merge"), "doc_id", "left_semi").select("text")
-
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            for part in slices(batch, "text", STRIP_BYTES):
+                found, rows, _ = words(part.column(0))
+                w = own.codes(found)
+                v = np.where(_neighbours(rows)[0], START, np.roll(w, 1))
+                both = (v >= 0) & (w >= 0)
+                pair, place = np.unique(own.pair_keys(v, w)[both], return_inverse=True)
+                t = np.bincount(place[np.asarray(part.column(1))[rows[both]]], minlength=len(pair))
+                yield pa.record_batch([pa.array(pair), pa.array(t), pa.array(np.bincount(place, minlength=len(pair)))], names=["pair", "t", "b"])
+
+    counts = docs.select("text", "target").mapInArrow(work, "pair long, t long, b long").groupBy("pair")
+    found = counts.agg(F.sum("t").alias("t"), F.sum("b").alias("b")).where(F.col("b") >= least).orderBy("pair").toArrow()
+    model.pairs = np.asarray(found["pair"], np.int64)
+    model.seen = np.array([np.asarray(found[c], float) for c in "tb"])
+
+
+def fit(docs: DataFrame) -> Model:
+    """What tasks must know of both models before they see a pair: totals and the common words and pairs."""
+    counts = settle(_word_counts(docs), "words")
+    t, b, size = (int(x or 0) for x in counts.agg(F.sum("t"), F.sum("b"), F.count_if(F.col("b") > 0)).first())
+    least = max(2.0, COMMON * b)
+    top = counts.where((F.col("b") >= least) | (F.col("word") == START)).orderBy("word").toArrow()  # at most 1 / COMMON
+    word = np.asarray(top["word"], np.int64)
+    real = word != START
+    total = np.array([[t + size], [b + size]], float)
+    alone, followed = np.zeros((2, FIRST_WORD + real.sum())), np.zeros((2, FIRST_WORD + real.sum()))
+    for i, (single, before) in enumerate((("t", "ft"), ("b", "fb"))):
+        alone[i, FIRST_WORD:] = PRIOR * (np.asarray(top[single])[real] + 1) / max(total[i, 0], 1)
+        followed[i, FIRST_WORD:] = np.asarray(top[before])[real]
+        followed[i, START] = np.asarray(top[before])[~real].sum()
+    model = Model(word[real], alone, followed, total, np.zeros(0, np.int64), np.zeros((2, 0)), max(1, -(-b // BUCKET_WORDS)))
+    _common_pairs(docs, model, least)
+    return model
+
+
+#: What travels. head: a strip's texts, with their ids as w, words as n and what is known of their losses as t and b.
+#: Otherwise pairs of a strip in one bucket: v before w, n times in text d // 2, which is of the target if d is odd.
+_PACKED = "bucket int, strip long, head boolean, w array<long>, v array<long>, d array<int>, n array<int>, t array<double>, b array<double>"
+#: Losses: of one text of a strip.
+_SUMS = "strip long, d int, head boolean, doc_id long, n long, t double, b double"
+
+
+def _lists(values: np.ndarray | pa.Array, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:
+    values = values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)
+
+
+def _rows(bucket: np.ndarray, strip: int, head: bool, columns: list, bounds: np.ndarray) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64()]
+    rows = len(bounds) - 1
+    empty = np.zeros(rows + 1, np.int64)
+    lists = [_lists(np.zeros(0), empty, k) if c is None else _lists(c, bounds, k) for c, k in zip(columns, kinds)]
+    names = ["bucket", "strip", "head", "w", "v", "d", "n", "t", "b"]
+    return pa.record_batch([pa.array(bucket, pa.int32()), pa.array(np.full(rows, strip)), pa.array([head] * rows), *lists], names=names)
+
+
+def _pack(model: Model, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """One strip (columns doc_id, digest, target, text): its texts, and its pairs but the common ones by bucket."""
+    found, rows, size = words(part.column(3))
+    mark = np.asarray(part.column(2))
+    first, last = _neighbours(rows)
+    w = model.codes(found)
+    v = np.where(first, START, np.roll(w, 1))
+    count = np.bincount(rows, minlength=size)
+    ends = last & (w < 0)  # others' counts as a word before are known
+    w, v, rows = np.append(w, w[ends]), np.append(v, np.full(int(ends.sum()), LAST)), np.append(rows, rows[ends])
+
+    known, place = np.unique(np.concatenate([w, v]), return_inverse=True)
+    pair, at, of = np.unique(place[: len(w)] * len(known) + place[len(w) :], return_index=True, return_inverse=True)
+    _, some, n = np.unique(rows * (len(pair) + 1) + of, return_index=True, return_counts=True)
+    w, v, d, of = w[some], v[some], rows[some], of[some]
+
+    before = (v >= 0) & (v != LAST)
+    common = np.zeros(len(w), bool)
+    sums = np.zeros((2, size))
+    both = np.flatnonzero(before & (w >= 0))
+    if len(model.pairs):
+        key = model.pair_keys(v[both], w[both])
+        spot = np.minimum(np.searchsorted(model.pairs, key), len(model.pairs) - 1)
+        hit = model.pairs[spot] == key
+        both, spot = both[hit], spot[hit]
+        common[both] = True
+    for i in (0, 1):
+        sums[i] += np.bincount(d[before], n[before] * np.log(model.followed[i, v[before]] + PRIOR), size)
+        if common.any():
+            sums[i] -= np.bincount(d[both], n[both] * np.log(model.seen[i, spot] + model.alone[i, w[both]]), size)
+
+    ids = pc.fill_null(part.column(0), 0)
+    with np.errstate(over="ignore"):  # what the strip holds tells it from others; equal strips have equal losses
+        each = mix(mix(np.asarray(ids).view(np.uint64)) + np.asarray(part.column(1)).view(np.uint64) + np.asarray(part.column(0).is_null()) )
+        strip = int(np.sum(mix(each + np.arange(size, dtype=np.uint64)), dtype=np.uint64).view(np.int64))
+    yield _rows(np.array([strip % model.buckets]), strip, True, [part.column(0), None, 2 * np.arange(size) + mark, count, *sums], np.array([0, size]))
 
-def _key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return mix(v.view(np.uint64) * np.uint64(3) + mix(w.view(np.uint64)))
-
-
-def _frequent(pairs: DataFrame) -> tuple[np.ndarray, ...]:
-    """(key, v, w, lt, lb) of the frequent pairs by key: at most 1 / FREQUENT, whatever the input."""
-    total = pairs.agg(F.sum("b")).first()[0] or 0
-    found = losses(pairs, F.col("b") >= max(2.0, FREQUENT * total)).toArrow()
-    v, w = (np.asarray(found[c], np.int64) for c in "vw")
-    key, first = np.unique(_key(v, w), return_index=True)  # a pair whose key is taken goes by the join
-    return key, v[first], w[first], np.asarray(found["lt"])[first], np.asarray(found["lb"])[first]
+        whole = mix(w[~common].view(np.uint64) + np.where(w[~common] < 0, np.uint64(0), mix(v[~common].view(np.uint64))))
+    bucket = (whole % np.uint64(model.buckets)).astype(np.int64)
+    order = np.argsort(bucket * (len(pair) + 1) + of[~common], kind="stable")
+    bucket = bucket[order]
+    w, v, d, n = (c[~common][order] for c in (w, v, d, n))
+    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+    inner = np.concatenate([np.arange(a, b, ROW_PAIRS) for a, b in zip(starts, np.append(starts[1:], len(bucket)))] or [starts])
+    if len(inner):
+        yield _rows(bucket[inner], strip, False, [w, v, 2 * d + mark[d], n, None, None], np.append(inner, len(bucket)))
+
+
+def _bucket_losses(model: Model, rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of losses by text of all pairs of a bucket."""
+    table = pa.Table.from_batches(rows).combine_chunks()
+    lists = [table[c].combine_chunks() for c in ("w", "v", "d", "n")]
+    w, v, d, n = (np.asarray(c.flatten()) for c in lists)
+    strip = np.repeat(np.asarray(table["strip"]), np.asarray(pc.list_value_length(lists[0])))
+    order = np.lexsort((v, w))
+    w, v, d, n, strip = w[order], v[order], d[order], n[order].astype(np.int64), strip[order]
+    new_word = np.append(True, w[1:] != w[:-1])
+    new_pair = new_word | np.append(True, v[1:] != v[:-1])
+    word, pair = np.cumsum(new_word) - 1, np.cumsum(new_pair) - 1
+    last, other = v == LAST, w < 0
+    text = np.unique(strip, return_inverse=True)[1] * (int(d.max()) + 1) + d
+    texts, one, at = np.unique(text, return_index=True, return_inverse=True)
+    sums = []
+    for i, own in enumerate((n * (d & 1), n)):
+        seen = np.bincount(pair, own)[pair]
+        stands = np.bincount(word, np.where(last, 0, own))[word]
+        followed = np.log(stands - np.bincount(word, np.where(last, own, 0))[word] + PRIOR)
+        alone = np.where(other, PRIOR * (stands + 1) / model.total[i, 0], model.alone[i, np.where(other, START, w)])
+        loss = np.where(last, 0.0, -np.log(np.where(last, 1.0, seen + alone))) + np.where(other, np.where(last, -followed, followed), 0.0)
+        sums.append(np.bincount(at, n * loss, len(texts)))
+    none = pa.nulls(len(texts), pa.int64())
+    yield pa.record_batch(
+        [pa.array(strip[one]), pa.array(d[one], pa.int32()), pa.array(np.zeros(len(texts), bool)), none, none, *map(pa.array, sums)],
+        names=["strip", "d", "head", "doc_id", "n", "t", "b"],
+    )
 
 
-def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """doc_id, n_words, target_loss, background_loss, difference of every row of docs.
+def cross_entropy_difference(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, target_loss, background_loss, difference of every row of docs (doc_id, text, target; see `marked`).
 
-    target is a frame of texts; the background is all of docs. Losses are means a word of -ln p under pair models that
-    share the vocabulary, all words of both texts; difference is target_loss - background_loss, lower for texts like the
-    target. Words are runs of letters, digits and characters beyond ASCII, lower-cased. Counts are exact (words are known
-    by 64-bit hashes) and grow with the input: they are a table, written to the shared folder, which texts meet in a join.
+    The target model is counted over the rows whose target is true, the background model over all rows. Losses are means a
+    word of -ln p under pair models with the same vocabulary (all words), order and smoothing: the counts of a pair, with
+    a prior of PRIOR words of the single-word model. After any word the probabilities of all words add up to one.
+    difference is target_loss - background_loss, lower for texts like the target. Words are runs of letters, digits and
+    characters beyond ASCII, lower-cased, known by 63 bits of a hash.
 
     A null or empty text has no words, losses of 0 and a difference of 0. Repeated rows get their rows and count as
-    often; a null doc_id keeps its row; without target texts all words are alike to the target's model; an empty table
-    gives no rows; extra columns are not looked at. A very long text is one row of Python work, as long as it is.
+    often; a null doc_id keeps its row, a null target is false; without target rows all words are alike to the target's
+    model; an empty table gives no rows; extra columns are not looked at. A very long text is one row of Python work. docs is
+    read three times and must hold its rows in the same order each time, as tables and written intermediates do.
     """
-    pairs = settle(pair_counts(target, docs), "pairs")
-    shared = docs.sparkSession.sparkContext.broadcast(_frequent(pairs))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("target", F.lit(False)).alias("target"), F.coalesce("text", F.lit("")).alias("text"))
+    model = fit(rows)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, first, second, target_loss, background_loss = shared.value
-        names = ["doc_id", "digest", "v", "w", "head", "n", "t", "b"]
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", STRIP_BYTES):
+                yield from _pack(shared.value, part)
+
+    def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, bucket = [], None
         for batch in batches:
-            for part in slices(batch, "text", 1 << 21):
-                ids, digest = part.column(0), part.column(1)
-                v, w, rows, n, count = word_pairs(part.column(2), by_row=True)
-                here = np.zeros(len(v), bool)
-                sums = [np.zeros(len(count)), np.zeros(len(count))]
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, _key(v, w)), len(keys) - 1)
-                    here = (first[at] == v) & (second[at] == w)
-                    sums = [np.bincount(rows[here], x[at[here]] * n[here], len(count)).astype(float) for x in (target_loss, background_loss)]
-                rest, own = ~here, pa.array(rows[~here])
-                # a row for each text, with what is known of it, and one for each pair that is looked up
-                yield pa.record_batch(
-                    [ids, digest, digest, digest, pa.array(np.ones(len(count), bool)), pa.array(count), *map(pa.array, sums)], names=names
-                )
-                none = pa.array(np.zeros(int(rest.sum())))
-                yield pa.record_batch(
-                    [ids.take(own), digest.take(own), pa.array(v[rest]), pa.array(w[rest]), pa.array(here[rest]), pa.array(n[rest]), none, none],
-                    names=names,
-                )
-
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("digest"), text.alias("text"))
-    parts = rows.mapInArrow(work, "doc_id long, digest long, v long, w long, head boolean, n long, t double, b double")
-    looked_up = losses(pairs, F.col("b") > 0).withColumn("head", F.lit(False))
-    scored = parts.join(looked_up, ["v", "w", "head"], "left")
-    # rows of one id and one text are repeated rows with the same losses: their sums are divided by all their words
-    each = scored.groupBy("doc_id", "digest").agg(
-        F.count_if("head").alias("rows"),
-        F.sum(F.when(F.col("head"), F.col("n")).otherwise(0)).alias("n"),
-        *(F.sum(F.when(F.col("head"), F.col(x)).otherwise(F.col("n") * F.col("l" + x))).alias(x) for x in "tb"),
+            head = batch.filter(batch.column(2))
+            for i in range(head.num_rows):
+                ids, _, d, n, t, b = (head.column(k).slice(i, 1).flatten() for k in range(3, 9))
+                size = len(d)
+                columns = [pa.array(np.full(size, head.column(1)[i].as_py())), d, pa.array([True] * size), ids, n.cast(pa.int64()), t, b]
+                yield pa.record_batch(columns, names=["strip", "d", "head", "doc_id", "n", "t", "b"])
+            rest = batch.filter(pc.invert(batch.column(2)))
+            own = np.asarray(rest.column(0))
+            cuts = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else []
+            for start, stop in zip(cuts, [*cuts[1:], len(own)]):
+                if held and own[start] != bucket:
+                    yield from _bucket_losses(shared.value, held)
+                    held = []
+                bucket = own[start]
+                held.append(rest.slice(start, stop - start))
+        if held:
+            yield from _bucket_losses(shared.value, held)
+
+    packed = rows.select("doc_id", F.xxhash64("text").alias("digest"), "target", "text").mapInArrow(pack, _PACKED)
+    together = packed.repartition(-(-model.buckets // BUCKETS), "bucket").sortWithinPartitions("bucket")
+    each = together.mapInArrow(losses, _SUMS).groupBy("strip", "d").agg(
+        F.count_if("head").alias("rows"),  # more than one where whole strips are equal: their sums go over all their words
+        F.max("doc_id").alias("doc_id"), F.sum("n").alias("n"), F.sum("t").alias("t"), F.sum("b").alias("b"),
     )
     mean = [(F.col(x) / F.greatest("n", F.lit(1))).alias(name) for x, name in (("t", "target_loss"), ("b", "background_loss"))]
-    out = each.select("doc_id", (F.col("n") / F.col("rows")).cast("long").alias("n_words"), *mean, F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("_"))
+    out = each.select("doc_id", (F.col("n") / F.col("rows")).cast("long").alias("n_words"), *mean, F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("_"))
     return out.select("doc_id", "n_words", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("difference"))

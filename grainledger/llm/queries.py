@@ -55,7 +55,7 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target are the documents that labels call good."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id"))
-    return lm_score.cross_entropy_difference(docs, lm_score.labelled(docs, good))
+    return lm_score.cross_entropy_difference(lm_score.marked(docs, good))
 
 
 @query("op3_quality")

@@ -42,37 +42,38 @@ def plain_losses(target, texts):
     return [(len(own), *(loss(m, own) for m in models)) for own in map(split, texts)]
 
 
-@pytest.mark.parametrize("frequent, hot", [(lm_score.FREQUENT, lm_score.HOT), (2.0, 2.0), (0.01, 0.01)])
-def test_language_models_equal_brute_force(spark, awkward, no_docs, prose, monkeypatch, frequent, hot):
-    """Whether all pairs, some or none are scored where they stand, and whichever words are joined by broadcast."""
-    monkeypatch.setattr(lm_score, "FREQUENT", frequent)
-    monkeypatch.setattr(lm_score, "HOT", hot)
+@pytest.mark.parametrize("common, bucket, ids", [(lm_score.COMMON, lm_score.BUCKET_WORDS, lm_score.BROADCAST_IDS), (2.0, 100, 0), (0.02, 37, 3)])
+def test_language_models_equal_brute_force(spark, awkward, no_docs, prose, monkeypatch, common, bucket, ids):
+    """Whichever words and pairs are common, with one bucket or many, with the target's ids joined either way."""
+    for name, value in (("COMMON", common), ("BUCKET_WORDS", bucket), ("BROADCAST_IDS", ids), ("STRIP_BYTES", 3000), ("ROW_PAIRS", 50)):
+        monkeypatch.setattr(lm_score, name, value)
     docs = awkward.select("doc_id", "text").union(spark.createDataFrame([(i, prose(i, 40, 60)) for i in range(20, 40)], "doc_id long, text string"))
-    target = docs.where("doc_id BETWEEN 20 AND 24").select("text")
+    target = spark.range(20, 25).selectExpr("id AS doc_id")
     texts = [(r.doc_id, r.text) for r in docs.collect()]
-    plain = plain_losses([r.text for r in target.collect()], [t for _, t in texts])
-    want = sorted((-1 if i is None else i, n, round(t, 6), round(b, 6)) for (i, _), (n, t, b) in zip(texts, plain))
-    got = lm_score.cross_entropy_difference(docs, target).collect()
-    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, round(r.target_loss, 6), round(r.background_loss, 6)) for r in got) == want
-    assert all(abs(r.difference - (r.target_loss - r.background_loss)) < 1e-12 for r in got)
-    assert lm_score.cross_entropy_difference(no_docs, no_docs.select("text")).count() == 0
-    assert lm_score.cross_entropy_difference(docs, no_docs.select("text")).count() == len(texts)
-
-
-def test_probabilities_after_a_word_add_up_to_one(spark):
-    docs = read(spark, "/root/testdata/sf0.001", "documents").select("text")
-    pairs = lm_score.settle(lm_score.pair_counts(docs.limit(50), docs), "pairs").cache()
-    t, b, vocabulary = pairs.selectExpr("sum(t)", "sum(b)", "count(DISTINCT w)").first()
-    seen = lm_score.losses(pairs).join(pairs, ["v", "w"]).join(pairs.groupBy("w").agg(F.sum("t").alias("wt"), F.sum("b").alias("wb")), "w")
-    by_before = pairs.groupBy("v").agg(F.sum("t").alias("vt"), F.sum("b").alias("vb"))
-    sums = seen.groupBy("v").agg(
-        *(F.sum(F.exp(-F.col("l" + x))).alias("p" + x) for x in "tb"),
-        *(F.sum((F.col("w" + x) + 1) / (n + vocabulary)).alias("a" + x) for x, n in (("t", t), ("b", b))),
-    ).join(by_before, "v")
-    for r in sums.collect():  # words that never follow v have only the prior
-        for p, alone, n in ((r.pt, r.at, r.vt), (r.pb, r.ab, r.vb)):
-            assert abs(p + (1 - alone) * 32 / (n + 32) - 1) < 1e-9
-    assert pairs.count() > 1000
+
+    def check(own, marks):
+        plain = plain_losses([t for i, t in texts if i in marks], [t for _, t in texts])
+        want = sorted((-1 if i is None else i, n, round(t, 6), round(b, 6)) for (i, _), (n, t, b) in zip(texts, plain))
+        got = lm_score.cross_entropy_difference(own).collect()
+        assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, round(r.target_loss, 6), round(r.background_loss, 6)) for r in got) == want
+        assert all(abs(r.difference - (r.target_loss - r.background_loss)) < 1e-12 for r in got)
+
+    check(lm_score.marked(docs, target.union(target)), range(20, 25))
+    check(docs.withColumn("target", F.lit(None).cast("boolean")), [])
+    assert lm_score.cross_entropy_difference(lm_score.marked(no_docs, target)).count() == 0
+
+
+def test_repeated_strips_keep_their_rows(spark, prose):
+    """Whole strips that are equal: every row has its line, and counts."""
+    rows = [(i % 3, prose(i % 3, 20, 30)) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).withColumn("target", F.col("doc_id") == 0)
+    plain = plain_losses([t for i, t in rows if i == 0], [t for _, t in rows])
+    want = sorted((i, n, round(t, 6), round(b, 6)) for (i, _), (n, t, b) in zip(rows, plain))
+    for size in (1, 1 << 22):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(lm_score, "STRIP_BYTES", size)
+            got = lm_score.cross_entropy_difference(docs).collect()
+        assert sorted((r.doc_id, r.n_words, round(r.target_loss, 6), round(r.background_loss, 6)) for r in got) == want
 
 
 def test_language_models_count_all_of_a_table(spark):
