@@ -44,6 +44,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--landing", required=True)
     run.add_argument("--out", required=True)
     run.add_argument("--allow-degraded-input", action="store_true")
+    run.add_argument("--all-pages", action="store_true", help="read every page before building, not only suspect files")
     ask = commands.add_parser("ask", help="answer a catalogued question, showing its SQL")
     ask.add_argument("question")
     ask.add_argument("--out", required=True)
@@ -58,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = _session()
     if args.command == "run":
-        record = build_warehouse(spark, args.landing, args.out, args.allow_degraded_input)
+        record = build_warehouse(spark, args.landing, args.out, args.allow_degraded_input, args.all_pages)
         record.frame(spark).show(truncate=False, vertical=True)
         return int(record.status == FAILED)
     if args.command == "list":

@@ -9,6 +9,7 @@ and Spark plans the joins of the next table from real file sizes.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Mapping
 from functools import reduce
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..sources.feeds import FEEDS, REFERENCES, read_manifest, read_reference, scan_feed
 from ..sources.inventory import affected_partitions, column_drift, cut_off, file_inventory
+from ..sources.pages import QUARANTINE_COLUMNS, held_back, quarantine_events, suspects, with_pages
 from ..sources.tables import append_rows, read_table, try_read, write_table
 from . import marts, staging
 from .runs import DEGRADED, FAILED, RunRecord, gate, latest_run, utc_now
@@ -65,6 +67,9 @@ TABLES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
 PARTITION_BY = {"fct_pos_line": "business_date"}
 
 RUN_LOG = "pipeline_run"
+#: Log of the files that were held back and released, over all runs.
+QUARANTINE = "quarantine"
+_UNREADABLE = re.compile(r"FAILED_READ_FILE\.(NO_HINT|CANNOT_READ_FILE_FOOTER).*?\.parquet", re.DOTALL)
 
 #: Undeclared columns that a run's message names; dq_column_drift has them all.
 NAMED = 5
@@ -97,8 +102,23 @@ def compose(source: Callable[[str], DataFrame], *names: str,
     return {n: get(n) for n in names}
 
 
-def build_warehouse(spark: SparkSession, landing: str, out: str, allow_degraded: bool = False) -> RunRecord:
-    """Inventory, gate, then every table. Returns the audit record that was appended."""
+def build_warehouse(spark: SparkSession, landing: str, out: str, allow_degraded: bool = False,
+                    all_pages: bool = False) -> RunRecord:
+    """Inventory, gate, then every table. Returns the audit record that was appended.
+
+    Footers of all files are read, and the pages of files that are suspect: held back before, or in a partition that
+    differs from the manifest. With `all_pages` every page is. If a scan still meets a page that does not read, the
+    build starts over with `all_pages`: the gate then knows every such file, instead of the build failing on one.
+    """
+    try:
+        return _build(spark, landing, out, allow_degraded, all_pages)
+    except Exception as exc:
+        if all_pages or not _UNREADABLE.search(str(exc)):
+            raise
+        return _build(spark, landing, out, allow_degraded, True)
+
+
+def _build(spark: SparkSession, landing: str, out: str, allow_degraded: bool, all_pages: bool) -> RunRecord:
     run = RunRecord(run_id=str(uuid.uuid4()), started_at=utc_now())
     home = f"{out.rstrip('/')}/{run.run_id}"
     made: dict[str, DataFrame] = {}
@@ -115,9 +135,16 @@ def build_warehouse(spark: SparkSession, landing: str, out: str, allow_degraded:
     base = landing.rstrip("/")
     before = cut_off()
     feeds = {f.name: f"{base}/{f.path}" for f in FEEDS.values()}
-    save("file_inventory", file_inventory(spark, feeds, before))
-    run.status, run.bad_file_count = gate(made["file_inventory"], allow_degraded)
     save("ingest_manifest", read_manifest(spark, landing))
+    save("_footers", file_inventory(spark, feeds, before))
+    log = try_read(spark, f"{out.rstrip('/')}/{QUARANTINE}")
+    held = held_back(spark.createDataFrame([], QUARANTINE_COLUMNS) if log is None else log)
+    some = None if all_pages else suspects(made["_footers"], made["ingest_manifest"], held)
+    save("file_inventory", with_pages(made["_footers"], some))
+    save("_quarantine", quarantine_events(held, made["file_inventory"], run.run_id, run.started_at))
+    if made["_quarantine"].take(1):
+        append_rows(made["_quarantine"], f"{out.rstrip('/')}/{QUARANTINE}")
+    run.status, run.bad_file_count = gate(made["file_inventory"], allow_degraded)
     if run.status == FAILED:
         run.warning_count = run.bad_file_count
         run.message = (
@@ -175,6 +202,8 @@ def open_warehouse(spark: SparkSession, out: str) -> DataFrame:
         raise FileNotFoundError(f"no warehouse at {out}: build it first")
     latest = latest_run(log)
     latest.createOrReplaceTempView(RUN_LOG)
+    log = try_read(spark, f"{base}/{QUARANTINE}")
+    (spark.createDataFrame([], QUARANTINE_COLUMNS) if log is None else log).createOrReplaceTempView(QUARANTINE)
     run_id, published = latest.select("run_id").first().run_id, is_published(latest)
     for name in ("file_inventory", "ingest_manifest", "dq_column_drift", *REFERENCES, *TABLES):
         table = try_read(spark, f"{base}/{run_id}/{name}")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -117,25 +117,46 @@ def scan_files(spark: SparkSession, files: Sequence[str], root: str | None = Non
     return reader.parquet(*files)
 
 
+def among(path: Column, listed: DataFrame) -> Column | None:
+    """Whether a path is among those listed (one column, path); None if none is.
+
+    The paths become one literal: hashes of 8 bytes behind a comma, in buckets of equal length, of which a lookup reads one.
+    However many there are, the plan holds one expression and the driver 9 bytes a path, where its own listing of a
+    folder holds some hundred bytes for each file. Another path with the same hash would count as listed.
+    """
+    found = listed.select(F.xxhash64(listed.columns[0]).alias("h")).distinct().toArrow()["h"].to_numpy()
+    if not len(found):
+        return None
+    buckets = len(found) // 4 + 1
+    held: list[list[bytes]] = [[] for _ in range(buckets)]
+    for at, h in zip((found % buckets).tolist(), found.tolist()):
+        held[at].append(b"," + h.to_bytes(8, "big", signed=True))
+    width = 9 * max(map(len, held))
+    table = b"".join(b"".join(b).ljust(width, b"-") for b in held)
+    own = F.xxhash64(path)
+    start = (F.pmod(own, F.lit(buckets)) * width + 1).cast("int")
+    return F.contains(F.substring(F.lit(table), start, F.lit(width)), F.concat(F.lit(b","), F.unhex(F.lpad(F.hex(own), 16, "0"))))
+
+
 def scan_feed(spark: SparkSession, landing: str, feed: Feed, inventory: DataFrame, before: str | None = None) -> DataFrame:
     """Scan every readable file of a feed, all file versions under one declared schema.
 
-    Only the unreadable paths come to the driver. They become a filter on the file path, which
-    Spark applies while it lists the folder, so the files are never opened, the others are not
-    enumerated in the plan, and partition filters keep pruning. `before` is the cut-off the
+    The unreadable files become one filter on the file path, which Spark applies while it lists the
+    folder, so they are never opened, the others are not enumerated in the plan, and partition
+    filters keep pruning. `before` is the cut-off the
     inventory was taken with: files that landed since then were not checked and are left out.
     """
     mine = inventory.where(F.col("feed") == feed.name)
     if not mine.where("read_status = 'OK'").take(1):
         raise FileNotFoundError(f"no readable Parquet file for feed {feed.name}")
-    bad = [r.path for r in mine.where("read_status <> 'OK'").select("path").toLocalIterator()]
     df = (
         spark.read.schema(feed.schema)
         .option("recursiveFileLookup", False)
         .options(pathGlobFilter="*.parquet", **landed(before))
         .parquet(f"{landing.rstrip('/')}/{feed.path}")
     )
-    return df.where(~F.col("_metadata.file_path").isin(bad)) if bad else df
+    bad = among(F.col("_metadata.file_path"), mine.where("read_status <> 'OK'").select("path"))
+    return df if bad is None else df.where(~bad)
 
 
 def read_reference(spark: SparkSession, landing: str, name: str) -> DataFrame:

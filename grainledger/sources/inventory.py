@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from datetime import datetime, timedelta, timezone
 
 import pandas as pd
+from pyarrow import NativeFile
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ INVENTORY_COLUMNS = (
     "path STRING, feed STRING, `partition` STRING, bytes BIGINT, actual_rows BIGINT, read_status STRING, error STRING, "
     "columns ARRAY<STRING>"
 )
-_ERROR_CHARS = 500
+ERROR_CHARS = 500
 
 
 def landed(before: str | None) -> dict[str, str]:
@@ -54,38 +55,56 @@ def list_files(spark: SparkSession, folder: str, before: str | None = None) -> D
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("bytes"))
 
 
-def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def opener() -> Callable[[str], NativeFile]:
+    """Opens files by the addresses Spark lists; each store is connected to once."""
     from urllib.parse import unquote, urlparse
 
-    import pyarrow.parquet as pq
     from pyarrow import fs
 
     stores: dict[tuple[str, str], fs.FileSystem] = {}
+
+    def open_file(uri: str) -> NativeFile:
+        at = urlparse(uri)
+        store = (at.scheme, at.netloc)
+        if at.scheme in ("", "file"):
+            stores.setdefault(store, fs.LocalFileSystem())
+            where = unquote(at.path)
+        elif store not in stores:
+            stores[store], where = fs.FileSystem.from_uri(uri)
+        else:
+            where = at.netloc + at.path if at.scheme != "hdfs" else at.path
+        return stores[store].open_input_file(where)
+
+    return open_file
+
+
+def _footer(handle: NativeFile) -> tuple[int, list[str]]:
+    """Rows and columns of a file whose footer reads and whose column chunks lie inside the file."""
+    import pyarrow.parquet as pq
+
+    footer, size = pq.read_metadata(handle), handle.size()
+    for g in range(footer.num_row_groups):
+        for c in range(footer.num_columns):
+            chunk = footer.row_group(g).column(c)
+            start = chunk.dictionary_page_offset or chunk.data_page_offset
+            if start < 4 or start + chunk.total_compressed_size > size - 8:
+                raise ValueError(f"column {chunk.path_in_schema} of row group {g} lies outside the file")
+    names = dict.fromkeys(footer.schema.column(i).path.split(".")[0] for i in range(footer.num_columns))
+    return footer.num_rows, list(names)
+
+
+def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    open_file = opener()
     for batch in batches:
-        rows, status, errors, columns = [], [], [], []
+        found = []
         for uri in batch["path"]:
             try:
-                at = urlparse(uri)
-                store = (at.scheme, at.netloc)
-                if at.scheme in ("", "file"):
-                    stores.setdefault(store, fs.LocalFileSystem())
-                    where = unquote(at.path)
-                elif store not in stores:
-                    stores[store], where = fs.FileSystem.from_uri(uri)
-                else:
-                    where = at.netloc + at.path if at.scheme != "hdfs" else at.path
-                with stores[store].open_input_file(where) as handle:
-                    footer = pq.read_metadata(handle)
-                    rows.append(footer.num_rows)
-                    columns.append(list(dict.fromkeys(c.split(".")[0] for c in (footer.schema.column(i).path for i in range(footer.num_columns)))))
-                status.append("OK")
-                errors.append(None)
+                with open_file(uri) as handle:
+                    rows, names = _footer(handle)
+                found.append((rows, "OK", None, names))
             except Exception as exc:  # any failure to read the footer makes the file unusable
-                del rows[len(status) :], columns[len(status) :]
-                rows.append(None)
-                columns.append(None)
-                status.append("CORRUPT")
-                errors.append(str(exc)[:_ERROR_CHARS])
+                found.append((None, "CORRUPT", str(exc)[:ERROR_CHARS], None))
+        rows, status, errors, columns = map(list, zip(*found)) if found else ([], [], [], [])
         yield batch.assign(actual_rows=pd.array(rows, dtype="Int64"), read_status=status, error=errors, columns=columns)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyarrow import BufferOutputStream, BufferReader, parquet
+from pyarrow import table as arrow_table
 from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +44,7 @@ from grainledger.plans.warehouse import register
 from grainledger.session import scratch_dir
 from grainledger.sources import affected_partitions, column_drift, file_inventory, scan_feed, scan_files
 from grainledger.sources.feeds import Feed, read_csv
+from grainledger.sources.pages import with_pages
 
 from .feeds import table, warehouse_table, warehouse_tables
 from .oracle import money, sql, week
@@ -133,6 +136,30 @@ def _(spark, d):
     return column_drift(file_inventory(spark, {"events": f"{landing}/events"}), layouts)
 
 
+@key(
+    "page_probe",
+    "SELECT 'dt=' || CAST(ts AS DATE) AS \"partition\", 'OK' AS read_status, CAST(1 AS BIGINT) AS files, count(*) AS n FROM events GROUP BY 1"
+    " UNION ALL SELECT 'dt=2024-01-16', 'CORRUPT', 1, NULL",
+)
+def _(spark, d):
+    """A file a day, and one more with a whole footer over broken pages."""
+    path = scratch_dir(spark, "pages-landing")
+    events = table(spark, d, "events").drop("props").withColumn("dt", F.col("ts").cast("date")).repartition("dt")
+    events.write.partitionBy("dt").parquet(f"{path}/events")
+    buffer = BufferOutputStream()
+    parquet.write_table(arrow_table({"event_id": list(range(1000))}), buffer, compression="zstd")
+    data = bytearray(buffer.getvalue())
+    chunk = parquet.read_metadata(BufferReader(bytes(data))).row_group(0).column(0)
+    start = chunk.dictionary_page_offset or chunk.data_page_offset
+    data[start : start + chunk.total_compressed_size] = b"\xff" * chunk.total_compressed_size
+    store, folder = FileSystem.from_uri(path)
+    store.create_dir(f"{folder}/events/dt=2024-01-16")
+    with store.open_output_stream(f"{folder}/events/dt=2024-01-16/part-broken.parquet") as out:
+        out.write(bytes(data))
+    probed = with_pages(file_inventory(spark, {"events": f"{path}/events"}))
+    return probed.groupBy("partition", "read_status").agg(F.count("*").alias("files"), F.sum("actual_rows").alias("n"))
+
+
 @key(
     "scan_union_by_name",
     "SELECT doc_id, lang, source, n_chars, quality, toxic FROM (SELECT * FROM documents UNION ALL BY NAME SELECT * FROM labels)",

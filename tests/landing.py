@@ -35,6 +35,15 @@ def truncate(path: str) -> None:
         handle.write(data[:-8])  # without the footer length and the closing mark
 
 
+def break_page(path: str, group: int, column: int) -> None:
+    """Overwrite the pages of one column of a row group; the footer stays whole."""
+    chunk = pq.read_metadata(path).row_group(group).column(column)
+    start = chunk.dictionary_page_offset or chunk.data_page_offset
+    with open(path, "r+b") as handle:
+        handle.seek(start)
+        handle.write(b"\xff" * chunk.total_compressed_size)
+
+
 def _pos(day: str, lines: list[tuple]) -> dict:
     """lines: (txn, line, outlet, channel, sku, event_ts, qty, uom, price)"""
     new = day >= "2025-10-01"
