@@ -152,8 +152,29 @@ def fit(docs: DataFrame) -> Model:
 #: What travels. head: a strip's texts, with their ids as w, words as n and what is known of their losses as t and b.
 #: Otherwise pairs of a strip in one bucket: v before w, n times in text d // 2, which is of the target if d is odd.
 _PACKED = "bucket int, strip long, head boolean, w array<long>, v array<long>, d array<int>, n array<int>, t array<double>, b array<double>"
-#: Losses: of one text of a strip.
-_SUMS = "strip long, d int, head boolean, doc_id long, n long, t double, b double"
+#: What comes back: sums of losses of a strip's texts from one bucket, and the strip's texts themselves.
+_SUMS = "strip long, head boolean, doc_id array<long>, d array<int>, n array<int>, t array<double>, b array<double>"
+_OUT = "doc_id long, n_words long, target_loss double, background_loss double, difference double"
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows that follow each other with equal first columns."""
+    held, last = [], None
+    for batch in batches:
+        own = np.asarray(batch.column(0))
+        cuts = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else []
+        for start, stop in zip(cuts, [*cuts[1:], len(own)]):
+            if held and own[start] != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = own[start]
+            held.append(batch.slice(start, stop - start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _flat(table: pa.Table, *names: str) -> list[np.ndarray]:
+    return [np.asarray(pc.list_flatten(table[name])) for name in names]
 
 
 def _lists(values: np.ndarray | pa.Array, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -219,12 +240,16 @@ def _pack(model: Model, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield _rows(bucket[inner], strip, False, [w, v, 2 * d + mark[d], n, None, None], np.append(inner, len(bucket)))
 
 
-def _bucket_losses(model: Model, rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of losses by text of all pairs of a bucket."""
-    table = pa.Table.from_batches(rows).combine_chunks()
-    lists = [table[c].combine_chunks() for c in ("w", "v", "d", "n")]
-    w, v, d, n = (np.asarray(c.flatten()) for c in lists)
-    strip = np.repeat(np.asarray(table["strip"]), np.asarray(pc.list_value_length(lists[0])))
+def _bucket_losses(model: Model, rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Sums of losses by text of all pairs of a bucket, a row a strip; rows of texts are passed on."""
+    heads = rows.filter(rows["head"])
+    names = ["strip", "head", "doc_id", "d", "n", "t", "b"]
+    yield from heads.select(["strip", "head", "w", "d", "n", "t", "b"]).rename_columns(names).to_batches()
+    rows = rows.filter(pc.invert(rows["head"]))
+    if not rows.num_rows:
+        return
+    w, v, d, n = _flat(rows, "w", "v", "d", "n")
+    strip = np.repeat(np.asarray(rows["strip"]), np.asarray(pc.list_value_length(rows["w"])))
     order = np.lexsort((v, w))
     w, v, d, n, strip = w[order], v[order], d[order], n[order].astype(np.int64), strip[order]
     new_word = np.append(True, w[1:] != w[:-1])
@@ -241,13 +266,30 @@ def _bucket_losses(model: Model, rows: list[pa.RecordBatch]) -> Iterator[pa.Reco
         alone = np.where(other, PRIOR * (stands + 1) / model.total[i, 0], model.alone[i, np.where(other, START, w)])
         loss = np.where(last, 0.0, -np.log(np.where(last, 1.0, seen + alone))) + np.where(other, np.where(last, -followed, followed), 0.0)
         sums.append(np.bincount(at, n * loss, len(texts)))
-    none = pa.nulls(len(texts), pa.int64())
+    place = strip[one]
+    starts = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+    bounds, empty = np.append(starts, len(place)), np.zeros(len(starts) + 1, np.int64)
     yield pa.record_batch(
-        [pa.array(strip[one]), pa.array(d[one], pa.int32()), pa.array(np.zeros(len(texts), bool)), none, none, *map(pa.array, sums)],
-        names=["strip", "d", "head", "doc_id", "n", "t", "b"],
+        [
+            pa.array(place[starts]), pa.array(np.zeros(len(starts), bool)), _lists(np.zeros(0), empty, pa.int64()), _lists(d[one], bounds, pa.int32()),
+            _lists(np.zeros(0), empty, pa.int32()), *(_lists(x, bounds, pa.float64()) for x in sums),
+        ],
+        names=names,
     )
 
 
+def _strip_losses(rows: pa.Table) -> pa.RecordBatch:
+    """Means of the texts of a strip. Strips that are equal have come together: their sums go over all their words."""
+    heads = rows.filter(rows["head"])
+    copies, first = heads.num_rows, heads.slice(0, 1)
+    ids, (n,) = pc.list_flatten(first["doc_id"]).combine_chunks(), _flat(first, "n")
+    d, t, b = _flat(rows, "d", "t", "b")
+    means = [np.bincount(d // 2, x, len(n)) / np.maximum(n.astype(np.int64) * copies, 1) for x in (t, b)]
+    columns = [pa.array(n, pa.int64()), *map(pa.array, (*means, means[0] - means[1]))]
+    each = pa.record_batch([ids, *columns], names=["doc_id", "n_words", "target_loss", "background_loss", "difference"])
+    return each if copies == 1 else pa.Table.from_batches([each] * copies).combine_chunks().to_batches()[0]
+
+
 def cross_entropy_difference(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, target_loss, background_loss, difference of every row of docs (doc_id, text, target; see `marked`).
 
@@ -272,32 +314,13 @@ def cross_entropy_difference(docs: DataFrame) -> DataFrame:
                 yield from _pack(shared.value, part)
 
     def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, bucket = [], None
-        for batch in batches:
-            head = batch.filter(batch.column(2))
-            for i in range(head.num_rows):
-                ids, _, d, n, t, b = (head.column(k).slice(i, 1).flatten() for k in range(3, 9))
-                size = len(d)
-                columns = [pa.array(np.full(size, head.column(1)[i].as_py())), d, pa.array([True] * size), ids, n.cast(pa.int64()), t, b]
-                yield pa.record_batch(columns, names=["strip", "d", "head", "doc_id", "n", "t", "b"])
-            rest = batch.filter(pc.invert(batch.column(2)))
-            own = np.asarray(rest.column(0))
-            cuts = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else []
-            for start, stop in zip(cuts, [*cuts[1:], len(own)]):
-                if held and own[start] != bucket:
-                    yield from _bucket_losses(shared.value, held)
-                    held = []
-                bucket = own[start]
-                held.append(rest.slice(start, stop - start))
-        if held:
-            yield from _bucket_losses(shared.value, held)
+        for run in _runs(batches):
+            yield from _bucket_losses(shared.value, run)
+
+    def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return map(_strip_losses, _runs(batches))
 
     packed = rows.select("doc_id", F.xxhash64("text").alias("digest"), "target", "text").mapInArrow(pack, _PACKED)
     together = packed.repartition(-(-model.buckets // BUCKETS), "bucket").sortWithinPartitions("bucket")
-    each = together.mapInArrow(losses, _SUMS).groupBy("strip", "d").agg(
-        F.count_if("head").alias("rows"),  # more than one where whole strips are equal: their sums go over all their words
-        F.max("doc_id").alias("doc_id"), F.sum("n").alias("n"), F.sum("t").alias("t"), F.sum("b").alias("b"),
-    )
-    mean = [(F.col(x) / F.greatest("n", F.lit(1))).alias(name) for x, name in (("t", "target_loss"), ("b", "background_loss"))]
-    out = each.select("doc_id", (F.col("n") / F.col("rows")).cast("long").alias("n_words"), *mean, F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("_"))
-    return out.select("doc_id", "n_words", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("difference"))
+    sums = together.mapInArrow(losses, _SUMS)
+    return sums.repartition("strip").sortWithinPartitions("strip").mapInArrow(means, _OUT)
