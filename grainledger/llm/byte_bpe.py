@@ -16,9 +16,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Frequent words that are folded once and looked up afterwards, and the documents they are drawn from, at most. All
-#: other words are folded where they stand; the ids are the same.
-FREQUENT_WORDS, SAMPLED_DOCS = 250_000, 40_000
+#: Words that are folded once and looked up afterwards: the most frequent of all documents. All other words are folded
+#: where they stand; the ids are the same.
+FREQUENT_WORDS = 250_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -198,12 +198,10 @@ def token_words(ranks: dict[bytes, int]) -> dict[str, list[int]]:
     return table
 
 
-def frequent_words(docs: DataFrame, pattern: str, vocabulary: Vocabulary, words: int, sampled: int) -> dict[str, list[int]]:
-    """Ids of the most frequent words, other than tokens, of a sample of the documents."""
+def frequent_words(docs: DataFrame, pattern: str, vocabulary: Vocabulary, words: int) -> dict[str, list[int]]:
+    """Ids of the most frequent words, other than tokens, counted over all documents."""
     table = token_words(vocabulary.ranks)
-    share = max(1, -(-docs.count() // sampled))
-    texts = docs.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).select("text")
-    found = texts.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("word"))
+    found = docs.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("word"))
     found = found.where(F.octet_length("word") <= 64).groupBy("word").count()
     top = found.orderBy(F.desc("count"), "word").limit(words + len(table)).select("word").toArrow()
     rest = [w for w in top["word"].to_pylist() if w not in table][:words]
@@ -242,18 +240,18 @@ def _word_table(spark: SparkSession, table: dict[str, list[int]], tokens: int) -
     return constants, look
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, words: int = FREQUENT_WORDS, sampled: int = SAMPLED_DOCS) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, words: int = FREQUENT_WORDS) -> DataFrame:
     """doc_id, ids of every row: the byte-level BPE ids of each match of the pattern in the whole text.
 
     A null or empty text has no ids. Repeated rows and null ids get their rows; extra columns are not looked at; an
-    empty table gives no rows. All work is in expressions of one row, so nothing is shuffled but the sample's words.
+    empty table gives no rows. All work is in expressions of one row, so nothing is shuffled but the counts of words.
     """
     spark = docs.sparkSession
     split = java_pattern(spark, pattern)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     table = token_words(vocabulary.ranks)
     tokens = len(table)
-    constants, look = _word_table(spark, table | frequent_words(rows, split, vocabulary, words, sampled), tokens)
+    constants, look = _word_table(spark, table | frequent_words(rows, split, vocabulary, words), tokens)
     constants += [
         _constant(spark, vocabulary.shift, pa.int64()), _constant(spark, vocabulary.slots, pa.int64()),
         _constant(spark, vocabulary.single, pa.int64()),
@@ -397,7 +395,7 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.
         start = stop
 
 
-def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, words: int = FREQUENT_WORDS, sampled: int = SAMPLED_DOCS) -> DataFrame:
+def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, words: int = FREQUENT_WORDS) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row: encoded, then decoded from the ids.
 
     Spark splits the texts and folds the merges over the frequent distinct words; tasks look these up, merge the
@@ -407,7 +405,7 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, words: in
     vocabulary = Vocabulary.of(ranks)
     split = java_pattern(spark, pattern)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    table = token_words(ranks) | frequent_words(rows, split, vocabulary, words, sampled)
+    table = token_words(ranks) | frequent_words(rows, split, vocabulary, words)
     sizes = np.fromiter(map(len, table.values()), np.int64, len(table))
     flat = np.fromiter((i for ids in table.values() for i in ids), np.int64, int(sizes.sum()))
     # at most `words` words and the tokens; the dict is the worker's own

@@ -104,6 +104,17 @@ def test_byte_bpe_equals_the_library(spark, awkward, no_docs, words, monkeypatch
     assert byte_bpe.round_trip(no_docs, ranks, public_tokenizers.PATTERN).count() == 0
 
 
+def test_frequent_words_are_those_of_all_documents(spark):
+    """The word of most texts, whatever their hashes: a share of texts taken by hash would show the other one more often."""
+    docs = spark.range(160_000).selectExpr("CAST(id AS STRING) AS tail")
+    docs = docs.selectExpr("concat('qqzzx ', tail) AS some", "concat('zzqqx ', tail) AS rest")
+    docs = docs.selectExpr("IF(pmod(xxhash64(some), 2) = 0 AND pmod(xxhash64(some), 3) = 0, some, rest) AS text")
+    docs = docs.where("text LIKE 'qq%' OR pmod(xxhash64(text), 2) = 1")
+    vocabulary = byte_bpe.Vocabulary.of(byte_bpe.load_ranks(RANKS))
+    split = byte_bpe.java_pattern(spark, public_tokenizers.PATTERN)
+    assert list(byte_bpe.frequent_words(docs, split, vocabulary, 1)) == ["zzqqx"]
+
+
 def test_long_words_merge_alike(monkeypatch):
     ranks = byte_bpe.load_ranks(RANKS)
     own = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
