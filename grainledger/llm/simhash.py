@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .graph import components, forest
-from .storage import fresh, settle
+from .storage import TEXTS, fresh, settle
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -247,7 +247,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, most: int = MAX
     rows and ties are equal fingerprints and are linked once; an empty table gives no rows. Other columns of docs are
     not looked at.
     """
-    rows = settle(fingerprints(docs, words), "fingerprints")
+    rows = settle(fingerprints(docs, words), "fingerprints", batch=TEXTS)
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(links(nodes, most))
     named = settle(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +22,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 #: How many rows Spark hands to a Python task at once.
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: The same where rows hold whole texts: Spark's own 10,000 of them are tens of megabytes, held several times over by both sides.
+TEXTS = 1_000
+
+
+@contextmanager
+def batches(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    """What runs inside hands so many rows at once to Python tasks; as many as before with None."""
+    before = spark.conf.get(_BATCH)
+    try:
+        if rows:
+            spark.conf.set(_BATCH, str(rows))
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
 
 
 def settle(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
@@ -29,13 +45,8 @@ def settle(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_BATCH)
-    try:
-        if batch:
-            spark.conf.set(_BATCH, str(batch))
+    with batches(spark, batch):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_BATCH, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .storage import fresh, settle
+from .storage import TEXTS, fresh, settle
 from .textscan import SPACE, mix, slices, span_hashes, spans, text_bytes
 
 #: Share of the word ends at which a chunk ends.
@@ -214,7 +214,7 @@ def _extended(rows: DataFrame, islands: DataFrame) -> DataFrame:
     around = some.join(asked, "doc").select("doc", "text", "asked").mapInArrow(
         _contexts, "doc long, s int, e int, left binary, right binary, inside binary"
     )
-    around = settle(around, "contexts")
+    around = settle(around, "contexts", batch=TEXTS)
     copy = around.select(
         F.col("doc").alias("first"), F.col("s").alias("fs"), F.col("e").alias("fe"), F.col("left").alias("l2"),
         F.col("right").alias("r2"), F.col("inside").alias("i2"),
@@ -245,7 +245,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), "text")
     found = chunks(rows)
-    found = settle(found.join(_first(found), "digest"), "repeated")
+    found = settle(found.join(_first(found), "digest"), "repeated", batch=TEXTS)
     wide = settle(_together(found.drop("first", "first_start").distinct()), "together")
     wide = wide.join(_first(wide), "digest")
     hits = found.unionByName(wide).where("doc <> first")

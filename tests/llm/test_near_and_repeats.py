@@ -3,10 +3,12 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from grainledger.llm import graph, simhash, substrings
+from grainledger.llm import graph, simhash, storage, substrings
 
 
 def slow_fingerprint(text):
@@ -163,3 +165,28 @@ def test_texts_that_share_an_id_keep_what_they_alone_have(spark, prose):
     assert kept < set(out) and len(out) == len(rows)
     cut = [t for t in out if t not in kept]
     assert all(a not in t for t in cut) and sorted(len(t.split()) for t in cut) == [80, 90]
+
+
+def test_passages_read_texts_in_small_batches(spark, prose, monkeypatch):
+    """Tasks that are handed whole texts get few of them at once."""
+    handed, settle = {}, substrings.settle
+
+    def note(df, name, batch=None):
+        handed[name] = batch
+        return settle(df, name, batch)
+
+    monkeypatch.setattr(substrings, "settle", note)
+    docs = spark.createDataFrame([(i, prose(i, 30) + " " + prose(99, 80)) for i in range(4)], "doc_id long, text string")
+    assert substrings.repeated_passages(docs).where("NOT kept").count() == 3
+    assert (handed["repeated"], handed["contexts"]) == (storage.TEXTS, storage.TEXTS)
+
+
+def test_batches_hold_for_what_runs_inside(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.num_rows])], names=["n"])
+
+    most = lambda: spark.range(0, 5_000, 1, 1).mapInArrow(sizes, "n long").agg(F.max("n")).first()[0]
+    with storage.batches(spark, 700):
+        assert most() == 700
+    assert most() == 5_000
