@@ -26,8 +26,10 @@ PRIOR = 32.0
 COMMON = 2.0**-13
 #: Words of the corpus a bucket, and buckets a task.
 BUCKET_WORDS, BUCKETS = 1 << 20, 8
-#: Text handled at once, and pairs a row that travels.
-STRIP_BYTES, ROW_PAIRS = 1 << 22, 1024
+#: Text handled at once, and pairs a row that travels: Spark hands some 10,000 rows at once to a task, whatever their size.
+STRIP_BYTES, ROW_PAIRS = 1 << 21, 128
+#: Pairs of a bucket whose losses are worked out at once, about; their working arrays are some 200 bytes a pair.
+PART_PAIRS = 1 << 17
 #: Ids of the target that are broadcast at most; more are joined.
 BROADCAST_IDS = 1 << 20
 #: Codes that stand for no word: what precedes a text's first word, and what follows its last. Common words come next.
@@ -228,9 +230,7 @@ def _pack(model: Model, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         strip = int(np.sum(mix(each + np.arange(size, dtype=np.uint64)), dtype=np.uint64).view(np.int64))
     yield _rows(np.array([strip % model.buckets]), strip, True, [part.column(0), None, 2 * np.arange(size) + mark, count, *sums], np.array([0, size]))
 
-    with np.errstate(over="ignore"):
-        whole = mix(w[~common].view(np.uint64) + np.where(w[~common] < 0, np.uint64(0), mix(v[~common].view(np.uint64))))
-    bucket = (whole % np.uint64(model.buckets)).astype(np.int64)
+    bucket = (_keys(w[~common], v[~common]) % np.uint64(model.buckets)).astype(np.int64)
     order = np.argsort(bucket * (len(pair) + 1) + of[~common], kind="stable")
     bucket = bucket[order]
     w, v, d, n = (c[~common][order] for c in (w, v, d, n))
@@ -240,6 +240,37 @@ def _pack(model: Model, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield _rows(bucket[inner], strip, False, [w, v, 2 * d + mark[d], n, None, None], np.append(inner, len(bucket)))
 
 
+def _keys(w: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """What pairs are dealt by: the second word, or the whole pair where that word is common."""
+    with np.errstate(over="ignore"):
+        return mix(w.view(np.uint64) + np.where(w < 0, np.uint64(0), mix(v.view(np.uint64))))
+
+
+def _parts(w: np.ndarray, v: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of the pairs of a bucket, in parts of about PART_PAIRS that keep what counts together."""
+    parts = -(-len(w) // PART_PAIRS)
+    part = (mix(_keys(w, v)) % np.uint64(parts)).astype(np.int32) if parts > 1 else np.zeros(len(w), np.int32)
+    for i in range(parts):
+        some = np.flatnonzero(part == i)
+        if len(some):
+            yield some[np.lexsort((v[some], w[some]))]
+
+
+def _add_losses(model: Model, w: np.ndarray, v: np.ndarray, d: np.ndarray, n: np.ndarray, at: np.ndarray, sums: np.ndarray) -> None:
+    """Add the losses of sorted pairs to the sums of their texts."""
+    new_word = np.append(True, w[1:] != w[:-1])
+    new_pair = new_word | np.append(True, v[1:] != v[:-1])
+    word, pair = np.cumsum(new_word) - 1, np.cumsum(new_pair) - 1
+    last, other = v == LAST, w < 0
+    for i, own in enumerate((n * (d & 1), n)):
+        seen = np.bincount(pair, own)[pair]
+        stands = np.bincount(word, np.where(last, 0, own))[word]
+        followed = np.log(stands - np.bincount(word, np.where(last, own, 0))[word] + PRIOR)
+        alone = np.where(other, PRIOR * (stands + 1) / model.total[i, 0], model.alone[i, np.where(other, START, w)])
+        loss = np.where(last, 0.0, -np.log(np.where(last, 1.0, seen + alone))) + np.where(other, np.where(last, -followed, followed), 0.0)
+        sums[i] += np.bincount(at, n * loss, sums.shape[1])
+
+
 def _bucket_losses(model: Model, rows: pa.Table) -> Iterator[pa.RecordBatch]:
     """Sums of losses by text of all pairs of a bucket, a row a strip; rows of texts are passed on."""
     heads = rows.filter(rows["head"])
@@ -250,22 +281,11 @@ def _bucket_losses(model: Model, rows: pa.Table) -> Iterator[pa.RecordBatch]:
         return
     w, v, d, n = _flat(rows, "w", "v", "d", "n")
     strip = np.repeat(np.asarray(rows["strip"]), np.asarray(pc.list_value_length(rows["w"])))
-    order = np.lexsort((v, w))
-    w, v, d, n, strip = w[order], v[order], d[order], n[order].astype(np.int64), strip[order]
-    new_word = np.append(True, w[1:] != w[:-1])
-    new_pair = new_word | np.append(True, v[1:] != v[:-1])
-    word, pair = np.cumsum(new_word) - 1, np.cumsum(new_pair) - 1
-    last, other = v == LAST, w < 0
     text = np.unique(strip, return_inverse=True)[1] * (int(d.max()) + 1) + d
     texts, one, at = np.unique(text, return_index=True, return_inverse=True)
-    sums = []
-    for i, own in enumerate((n * (d & 1), n)):
-        seen = np.bincount(pair, own)[pair]
-        stands = np.bincount(word, np.where(last, 0, own))[word]
-        followed = np.log(stands - np.bincount(word, np.where(last, own, 0))[word] + PRIOR)
-        alone = np.where(other, PRIOR * (stands + 1) / model.total[i, 0], model.alone[i, np.where(other, START, w)])
-        loss = np.where(last, 0.0, -np.log(np.where(last, 1.0, seen + alone))) + np.where(other, np.where(last, -followed, followed), 0.0)
-        sums.append(np.bincount(at, n * loss, len(texts)))
+    sums = np.zeros((2, len(texts)))
+    for some in _parts(w, v):
+        _add_losses(model, w[some], v[some], d[some], n[some].astype(np.int64), at[some], sums)
     place = strip[one]
     starts = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
     bounds, empty = np.append(starts, len(place)), np.zeros(len(starts) + 1, np.int64)

@@ -3,10 +3,12 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,6 +44,28 @@ def plain_losses(target, texts):
     return [(len(own), *(loss(m, own) for m in models)) for own in map(split, texts)]
 
 
+@pytest.mark.parametrize("pairs", [1 << 17, 1000])
+def test_losses_of_a_bucket_in_parts(monkeypatch, pairs):
+    """The same sums, and working arrays that do not grow with the bucket."""
+    rng = np.random.default_rng(1)
+    size = 400_000
+    columns = [rng.integers(-30_000, 0, size), rng.integers(-30_000, 3, size), rng.integers(0, 200, size), rng.integers(1, 3, size)]
+    model = lm_score.Model(np.zeros(0, np.int64), np.zeros((2, 3)), np.ones((2, 3)), np.full((2, 1), 1e6), np.zeros(0, np.int64), np.zeros((2, 0)), 1)
+    rows = pa.Table.from_batches([lm_score._rows(np.zeros(1), 7, False, [*columns, None, None], np.array([0, size]))])
+
+    def sums(most):
+        monkeypatch.setattr(lm_score, "PART_PAIRS", most)
+        tracemalloc.start()
+        (out,) = lm_score._bucket_losses(model, rows)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return np.array([pc.list_flatten(out.column(i)) for i in (5, 6)]), peak
+
+    (whole, large), (parts, small) = sums(10 * size), sums(pairs)
+    assert np.allclose(whole, parts, rtol=1e-9)
+    assert small < 0.75 * large
+
+
 @pytest.mark.parametrize("common, bucket, ids", [(lm_score.COMMON, lm_score.BUCKET_WORDS, lm_score.BROADCAST_IDS), (2.0, 100, 0), (0.02, 37, 3)])
 def test_language_models_equal_brute_force(spark, awkward, no_docs, prose, monkeypatch, common, bucket, ids):
     """Whichever words and pairs are common, with one bucket or many, with the target's ids joined either way."""
