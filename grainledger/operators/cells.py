@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Cells of a large group, and bounds that are compared one by one when a value's cell is looked up.
 CELLS, STRIDE = 1024, 32
+#: Bounds of all groups together, and groups that have some, where bounds are broadcast. An estimate of their bytes at most.
+SHARED, LARGEST, SHARED_BYTES = 1 << 13, 1024, 1 << 18
 
 
 def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
@@ -34,9 +36,7 @@ def cell_bounds(rows: DataFrame, keys: Sequence[str], value: str, above: int, na
         F.pmod(F.xxhash64(value), F.ceil(F.col("_rows") / CELLS)) == 0
     )
     sorted_bounds = F.array_sort(F.collect_set(value))  # about CELLS values
-    return drawn.groupBy(*mine).agg(sorted_bounds.alias("_bounds")).withColumn(
-        "_coarse", F.transform(F.sequence(F.lit(1), F.size("_bounds"), F.lit(STRIDE)), lambda i: F.element_at("_bounds", i))
-    )
+    return _with_coarse(drawn.groupBy(*mine).agg(sorted_bounds.alias("_bounds")))
 
 
 def cell_of(value: Column) -> Column:
@@ -45,3 +45,24 @@ def cell_of(value: Column) -> Column:
     stretch = lambda n: F.slice("_bounds", (n - 1) * STRIDE + 1, F.lit(STRIDE))
     at = F.transform(F.array(upto(F.col("_coarse"))), lambda n: F.when(n > 0, (n - 1) * STRIDE + upto(stretch(n))).otherwise(0))
     return F.when(F.col("_bounds").isNull() | value.isNull(), F.lit(0)).otherwise(at[0])
+
+
+def shared_bounds(rows: DataFrame, key: str, value: str, above: int, named: str = "_b_") -> DataFrame:
+    """Like `cell_bounds`, with SHARED bounds for all groups together, about: at any size a frame that can be broadcast.
+
+    The LARGEST groups of more than `above` rows get them, one for every so many rows. What is left, a cell or a whole
+    group, has about 1 / SHARED of these groups' rows, or 1 / LARGEST at most where more groups than that are as large.
+    """
+    mine = f"{named}{key}"
+    present = rows.where(F.col(value).isNotNull())
+    large = present.groupBy(F.col(key).alias(mine)).agg(F.count("*").alias("_rows")).where(F.col("_rows") > above)
+    large = large.orderBy(F.desc("_rows"), mine).limit(LARGEST)
+    every = F.ceil(F.sum("_rows").over(Window.partitionBy()) / SHARED)  # over LARGEST rows
+    large = large.select(mine, every.alias("_every"))
+    drawn = present.join(large, F.col(key) == F.col(mine)).where(F.pmod(F.xxhash64(value), F.col("_every")) == 0)
+    return _with_coarse(drawn.groupBy(mine).agg(F.array_sort(F.collect_set(value)).alias("_bounds")))
+
+
+def _with_coarse(bounds: DataFrame) -> DataFrame:
+    every = F.sequence(F.lit(1), F.size("_bounds"), F.lit(STRIDE))
+    return bounds.withColumn("_coarse", F.transform(every, lambda i: F.element_at("_bounds", i)))

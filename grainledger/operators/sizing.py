@@ -6,11 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _threshold(df: DataFrame) -> int:
+    if not hasattr(df, "_jdf"):  # no JVM behind the frame (Spark Connect)
+        return -1
+    return int(str(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()))
+
+
 def fits_broadcast(df: DataFrame, copies: int = 1) -> bool:
     """Whether `copies` times Spark's size estimate of `df` is inside its broadcast threshold."""
-    if not hasattr(df, "_jdf"):  # no JVM behind the frame (Spark Connect)
+    limit = _threshold(df)
+    if limit < 0:
         return False
-    limit = int(str(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()))
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return 0 < copies * size <= limit
 
@@ -23,3 +29,8 @@ def lookup_side(df: DataFrame, *sources: DataFrame, copies: int = 1) -> DataFram
     source row can occur in it. Beyond the threshold `df` is returned as it is and the join shuffles.
     """
     return F.broadcast(df) if all(fits_broadcast(s, copies * len(sources)) for s in sources) else df
+
+
+def bounded_side(df: DataFrame, most: int) -> DataFrame:
+    """`df`, of at most `most` bytes by the way it is made, marked for broadcast when the threshold allows as much."""
+    return F.broadcast(df) if most <= _threshold(df) else df

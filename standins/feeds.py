@@ -28,10 +28,12 @@ def _utc_text(ts: Column) -> Column:
 
 
 def raw_pos(spark: SparkSession, d: str) -> DataFrame:
-    lines = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # joined by the feed's own key, so that the lines of a transaction are together already when they are deduplicated
+    orders = table(spark, d, "orders").withColumn("txn_id", F.col("o_orderkey").cast("string"))
+    lines = table(spark, d, "lineitem").withColumn("txn_id", F.col("l_orderkey").cast("string")).join(orders, "txn_id")
     whole = F.col("l_quantity").cast("int")
     return lines.select(
-        F.col("l_orderkey").cast("string").alias("txn_id"),
+        "txn_id",
         F.col("l_linenumber").alias("txn_line_no"),
         _tag("B", "l_suppkey").alias("basket_id"),
         _tag("OUT", "o_custkey").alias("outlet_code"),

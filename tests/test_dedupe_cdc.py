@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from grainledger.operators import asof_join, current_state, keep_first, latest_per_key, scd2, version_changes
 from grainledger.operators.cdc import tombstoned_keys
+from standins.feeds import warehouse_table
 
 T = [f"2025-01-{d:02d} 00:00:00" for d in range(1, 20)]
 END = dt.datetime(9999, 12, 31)
@@ -234,3 +235,38 @@ def test_scd2_reads_its_input_once(spark):
     out = scd2(df, "k", "t", "seq", "op")
     out._jdf.queryExecution().toRdd().count()
     assert "ReusedExchange" in plan(out)
+
+
+def test_asof_looks_up_long_lists_and_shuffles_facts_once(spark):
+    """Without any broadcast of the history: a key of 20,000 versions in one list, and in cells."""
+    f, v = hot_history(spark, 20_000, 20_000)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "262144")
+    try:
+        for busy_above in (32, 10**6):
+            out = asof_join(f, v.repartition(3), "k", "t", {"version": "got"}, busy_above=busy_above)
+            assert out.where("got = expected").count() == 20_000
+        wide = [line for line in plan(out).splitlines() if "Exchange hashpartitioning(k#" in line]
+        assert len(wide) == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_asof_skips_empty_and_reversed_intervals(frame):
+    v = frame("k STRING, valid_from TS, valid_to TS, ch STRING", ("k", T[1], T[1], "A"), ("k", T[4], T[2], "B"), ("k", T[1], None, "C"), ("k", T[1], T[5], "D"))
+    f = frame("id INT, k STRING, t TS", (1, "k", T[1]), (2, "k", T[3]), (3, None, T[3]))
+    assert {r.id: r.c for r in asof_join(f, v, "k", "t", {"ch": "c"}).collect()} == {1: "D", 2: "D", 3: None}
+
+
+def shuffled_plan(spark, query):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return plan(query())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_lines_are_deduplicated_where_they_were_joined(spark, sf_dir):
+    text = shuffled_plan(spark, lambda: warehouse_table(spark, sf_dir, "stg_pos"))
+    assert text.count("Exchange hashpartitioning") == 2  # lines and orders
