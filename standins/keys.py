@@ -478,7 +478,8 @@ def _(spark, d):
 def _(spark, d):
     raw = warehouse_table(spark, d, "raw_orders")
     dead = tombstoned_keys(raw, "order_number", "__seq", "__op")
-    return raw.join(dead, "order_number", "left_semi").groupBy("order_number").agg(F.count("*").alias("changes"))
+    # counted first: the join then sorts one row an order instead of one a change
+    return raw.groupBy("order_number").agg(F.count("*").alias("changes")).join(dead, "order_number", "left_semi")
 
 
 # --- aggregations ---------------------------------------------------------------------------

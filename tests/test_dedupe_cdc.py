@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from grainledger.operators import asof_join, current_state, keep_first, latest_per_key, scd2, version_changes
 from grainledger.operators.cdc import tombstoned_keys
 from standins.feeds import warehouse_table
+from standins.keys import QUERIES
 
 T = [f"2025-01-{d:02d} 00:00:00" for d in range(1, 20)]
 END = dt.datetime(9999, 12, 31)
@@ -270,3 +271,8 @@ def shuffled_plan(spark, query):
 def test_lines_are_deduplicated_where_they_were_joined(spark, sf_dir):
     text = shuffled_plan(spark, lambda: warehouse_table(spark, sf_dir, "stg_pos"))
     assert text.count("Exchange hashpartitioning") == 2  # lines and orders
+
+
+def test_changes_are_counted_before_the_semi_join(spark, sf_dir):
+    text = shuffled_plan(spark, lambda: QUERIES["semi_join"](spark, sf_dir))
+    assert text.index("LeftSemi") < text.index("count(1)")
