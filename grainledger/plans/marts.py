@@ -59,12 +59,11 @@ def single_factors(uom_conversion: DataFrame) -> DataFrame:
 def fct_pos_line(pos: DataFrame, outlets: DataFrame, products: DataFrame, uom_conversion: DataFrame) -> DataFrame:
     """Canonical lines with the outlet as of the sale, product attributes and eaches.
 
-    The two product lookups are merged into one small relation first, so the lines meet the
-    product key once.
+    Both product lookups have one row per sku_code, which Spark sees: where no column of a lookup is asked for, its
+    join and all behind it fall away. Where both are, the lines are dealt by the product key once for the two.
     """
     master = products.select("sku_code", "product_name", "category", "case_pack")
     factors = single_factors(uom_conversion)
-    pack = lookup_side(master.join(factors, "sku_code", "full"), master, factors)
     with_outlet = asof_join(
         pos,
         outlets,
@@ -78,7 +77,8 @@ def fct_pos_line(pos: DataFrame, outlets: DataFrame, products: DataFrame, uom_co
         },
     )
     return (
-        with_outlet.join(pack, "sku_code", "left")
+        with_outlet.join(lookup_side(master, products, copies=2), "sku_code", "left")
+        .join(lookup_side(factors, uom_conversion, copies=2), "sku_code", "left")
         .withColumns(to_eaches("qty", "uom", "eaches_per_case", "case_pack"))
         .select(
             "txn_id",

@@ -6,8 +6,9 @@ import time
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
-from grainledger.plans import checks
+from grainledger.plans import checks, marts
 from grainledger.plans.catalogue import METRICS, QUESTIONS, list_metrics, list_questions, run_metric, run_sql
 from grainledger.plans.runs import DEGRADED, FAILED, SUCCESS, gate
 from grainledger.plans.warehouse import TABLES, build_warehouse, check_scans, is_published, open_warehouse
@@ -346,3 +347,28 @@ def test_catalogue_is_data(spark):
     assert questions.count() == 10 and metrics.count() == len(METRICS) == 9
     assert {m.question for m in METRICS} <= set(QUESTIONS)
     assert questions.where("id = 'q01_gross_sales_by_channel'").first().params == ["fy", "quarter"]
+
+
+LINES = "txn_id STRING, txn_line_no INT, basket_id STRING, outlet_code STRING, till_channel STRING, sku_code STRING, event_ts_utc TS, event_ts_ist TS, business_date DATE, ingest_date DATE, qty DOUBLE, uom STRING, unit_price DOUBLE, discount_amount DOUBLE, tax_amount DOUBLE, gross_sales_inr DOUBLE, payment_mode STRING, source_file STRING"
+
+
+def test_product_lookups_keep_all_lines_and_fall_away_where_unused(spark, frame):
+    def line(n, sku, uom="CS"):
+        return ("T", n, "B", "O", "MT", sku, *["2025-01-01 00:00:00"] * 2, *["2025-01-01"] * 2, 2.0, uom, 1.0, 0.0, 0.0, 2.0, "x", "f")
+
+    lines = frame(LINES, line(1, "both"), line(2, "master"), line(3, "factor"), line(4, "none"), line(5, None), line(6, "none", "EA"))
+    outlets = frame(
+        "outlet_code STRING, channel STRING, outlet_name STRING, city STRING, warehouse_code STRING, valid_from TS, valid_to TS",
+        ("O", "GT", "o", "c", "w", "2024-01-01 00:00:00", "9999-12-31 00:00:00"),
+    )
+    changes = frame("sku_code STRING, product_name STRING, category STRING, case_pack BIGINT", ("both", "p", "k", 4), ("master", "q", "k", 5), (None, "n", "k", 9))
+    products = changes.groupBy("sku_code").agg(*[F.max(c).alias(c) for c in changes.columns[1:]])
+    factors = frame("sku_code STRING, eaches_per_case INT", ("both", 6), ("factor", 7), (None, 8))
+    made = marts.fct_pos_line(lines, outlets, products, factors)
+    found = {r.txn_line_no: (r.product_name, r.case_pack, r.eaches_per_case, r.conversion_source, r.eaches) for r in made.collect()}
+    assert found == {
+        1: ("p", 4, 6, "UOM_REFERENCE", 12.0), 2: ("q", 5, None, "CDC_CASE_PACK", 10.0), 3: (None, None, 7, "UOM_REFERENCE", 14.0),
+        4: (None, None, None, "UNKNOWN", None), 5: (None, None, None, "UNKNOWN", None), 6: (None, None, None, "UOM_REFERENCE", 2.0),
+    }
+    keys = checks.duplicate_keys(made, ["txn_id", "txn_line_no"])
+    assert "Join" not in keys._jdf.queryExecution().optimizedPlan().toString() and keys.count() == 0
