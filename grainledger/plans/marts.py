@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import exact_sum, fiscal_attributes, origin_bucket, round_to
+from ..functions import fiscal_attributes, origin_bucket, round_to
+from ..functions.columns import MONEY
 from ..operators import (
     asof_join,
     coverage_grid,
@@ -117,15 +118,35 @@ def fct_pos_line(pos: DataFrame, outlets: DataFrame, products: DataFrame, uom_co
 def fct_sales_daily(lines: DataFrame, dates: DataFrame) -> DataFrame:
     """Daily sales by till channel and as-of channel.
 
-    Lines are summed by day and channels first; the calendar joins the daily rows, not the lines.
+    Lines are summed by day and channels first; the calendar joins the daily rows, not the lines. A line is counted
+    in two rows, one with its figures and one with its basket: figures shrink to a row a day before they are
+    shuffled, and only baskets travel to be told apart.
     """
-    daily = lines.groupBy("business_date", "till_channel", "outlet_channel_asof").agg(
-        F.count("*").alias("line_count"),
-        F.count_distinct("basket_id").alias("basket_count"),
-        round_to(exact_sum("gross_sales_inr"), 2).alias("gross_sales_inr"),
-        round_to(exact_sum("discount_amount"), 2).alias("discount_inr"),
-        round_to(exact_sum("eaches"), 2).alias("units_eaches"),
-        F.count_if(F.col("conversion_status") == "UNKNOWN").alias("units_unknown_lines"),
+    cell = ["business_date", "till_channel", "outlet_channel_asof"]
+    sums = ["gross_sales_inr", "discount_amount", "eaches"]
+    figures = {
+        "_line": (F.lit(1), "int"),
+        "_unknown": (F.col("conversion_status") == "UNKNOWN", "boolean"),
+        **{c: (F.col(c).cast(MONEY), MONEY) for c in sums},
+    }
+    none = F.lit(None)
+    no_basket = none.cast(lines.schema["basket_id"].dataType).alias("basket_id")
+    first = F.struct(no_basket, *[c.alias(n) for n, (c, _) in figures.items()])
+    second = F.struct("basket_id", *[none.cast(t).alias(n) for n, (_, t) in figures.items()])
+    halves = lines.select(*cell, F.explode(F.array(first, second)).alias("_half")).select(*cell, "_half.*")
+    apart = halves.where("_line IS NOT NULL OR basket_id IS NOT NULL").groupBy(*cell, "basket_id").agg(
+        F.count("_line").alias("_lines"),
+        F.count_if("_unknown").alias("_unknowns"),
+        *[F.sum(c).alias(c) for c in sums],
+    )
+    total = lambda c: round_to(F.sum(c).cast("double"), 2)
+    daily = apart.groupBy(*cell).agg(
+        F.sum("_lines").alias("line_count"),
+        F.count("basket_id").alias("basket_count"),
+        total("gross_sales_inr").alias("gross_sales_inr"),
+        total("discount_amount").alias("discount_inr"),
+        total("eaches").alias("units_eaches"),
+        F.sum("_unknowns").alias("units_unknown_lines"),
     )
     return daily.join(dates, daily.business_date == dates.calendar_date, "left").select(
         "business_date",

@@ -372,3 +372,19 @@ def test_product_lookups_keep_all_lines_and_fall_away_where_unused(spark, frame)
     }
     keys = checks.duplicate_keys(made, ["txn_id", "txn_line_no"])
     assert "Join" not in keys._jdf.queryExecution().optimizedPlan().toString() and keys.count() == 0
+
+
+def test_daily_sales_send_baskets_without_figures(frame):
+    row = "business_date DATE, till_channel STRING, outlet_channel_asof STRING, basket_id STRING, gross_sales_inr DOUBLE, discount_amount DOUBLE, eaches DOUBLE, conversion_status STRING"
+    day = ("2025-01-01", "MT", None)
+    lines = frame(
+        row, (*day, "a", 1.25, 0.5, 3.0, "CONVERTED"), (*day, "a", 1.25, None, None, "UNKNOWN"), (*day, None, None, 0.25, 2.0, None),
+        (*day, "b", 1.0, 0.0, 1.0, "CONVERTED"), ("2025-01-02", "MT", "GT", None, None, None, None, "UNKNOWN"),
+    )
+    dates = frame(
+        "calendar_date DATE, fiscal_year STRING, fiscal_quarter STRING, fiscal_month_no INT, report_week DATE", ("2025-01-01", "FY25", "Q4", 10, "2025-01-01")
+    )
+    daily = marts.fct_sales_daily(lines, dates)
+    found = {tuple(r)[-6:] for r in daily.collect()}
+    assert found == {(4, 2, 3.5, 0.75, 6.0, 1), (1, 0, None, None, None, 1)}
+    assert "distinct" not in daily._jdf.queryExecution().optimizedPlan().toString()
