@@ -198,17 +198,27 @@ def token_words(ranks: dict[bytes, int]) -> dict[str, list[int]]:
     return table
 
 
-def frequent_words(docs: DataFrame, pattern: str, vocabulary: Vocabulary, words: int) -> dict[str, list[int]]:
-    """Ids of the most frequent words, other than tokens, counted over all documents."""
+def frequent_table(docs: DataFrame, pattern: str, vocabulary: Vocabulary, words: int) -> pa.Table:
+    """word, ids: the most frequent words, other than tokens, counted over all documents.
+
+    They stay in Arrow: as Python's strings and lists they take several times the memory, and the driver keeps it.
+    """
     table = token_words(vocabulary.ranks)
     found = docs.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("word"))
     found = found.where(F.octet_length("word") <= 64).groupBy("word").count()
-    top = found.orderBy(F.desc("count"), "word").limit(words + len(table)).select("word").toArrow()
-    rest = [w for w in top["word"].to_pylist() if w not in table][:words]
-    if rest:
-        ids = encode_words(docs.sparkSession.createDataFrame(pa.table({"word": rest})).repartition(16), vocabulary).toArrow()
-        return dict(zip(ids["word"].to_pylist(), ids["ids"].to_pylist()))
-    return {}
+    top = found.orderBy(F.desc("count"), "word").limit(words + len(table)).select("word").toArrow()["word"].cast(pa.string())
+    rest = top.filter(pc.invert(pc.is_in(top, value_set=pa.array(list(table), pa.string())))).slice(0, words)
+    kinds = pa.schema([("word", pa.string()), ("ids", pa.list_(pa.int64()))])
+    if not len(rest):
+        return kinds.empty_table()
+    ids = encode_words(docs.sparkSession.createDataFrame(pa.table({"word": rest})).repartition(16), vocabulary).toArrow()
+    return ids.select(kinds.names).cast(kinds)
+
+
+def frequent_words(docs: DataFrame, pattern: str, vocabulary: Vocabulary, words: int) -> dict[str, list[int]]:
+    """The same, as ids by word."""
+    found = frequent_table(docs, pattern, vocabulary, words)
+    return dict(zip(found["word"].to_pylist(), found["ids"].to_pylist()))
 
 
 def _word_table(spark: SparkSession, table: dict[str, list[int]], tokens: int) -> tuple[list[Column], Callable]:
@@ -405,11 +415,13 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, words: in
     vocabulary = Vocabulary.of(ranks)
     split = java_pattern(spark, pattern)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    table = token_words(ranks) | frequent_words(rows, split, vocabulary, words)
-    sizes = np.fromiter(map(len, table.values()), np.int64, len(table))
-    flat = np.fromiter((i for ids in table.values() for i in ids), np.int64, int(sizes.sum()))
+    tokens, frequent = token_words(ranks), frequent_table(rows, split, vocabulary, words)
+    lists = frequent["ids"].combine_chunks()
+    names = pa.concat_arrays([pa.array(list(tokens), pa.string()), *frequent["word"].chunks])
+    sizes = np.concatenate([np.ones(len(tokens), np.int64), np.asarray(lists.value_lengths(), np.int64)])
+    flat = np.concatenate([np.fromiter((r for [r] in tokens.values()), np.int64, len(tokens)), np.asarray(lists.flatten(), np.int64)])
     # at most `words` words and the tokens; the dict is the worker's own
-    shared = spark.sparkContext.broadcast((ranks, pa.array(list(table), pa.string()), sizes, flat, {}))
+    shared = spark.sparkContext.broadcast((ranks, names, sizes, flat, {}))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         *known, kept = shared.value

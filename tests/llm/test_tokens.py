@@ -115,6 +115,19 @@ def test_frequent_words_are_those_of_all_documents(spark):
     assert list(byte_bpe.frequent_words(docs, split, vocabulary, 1)) == ["zzqqx"]
 
 
+def test_frequent_words_stay_in_arrow(spark, monkeypatch):
+    ranks = byte_bpe.load_ranks(RANKS)
+    monkeypatch.setattr(byte_bpe, "frequent_words", None)  # the driver makes no Python lists of them
+    docs = spark.createDataFrame([(1, "zzqqx zzqqx qqzzv, the"), (2, "zzqqx")], "doc_id long, text string")
+    encoding = tiktoken.Encoding("one", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for words in (0, 1, 100):
+        rows = byte_bpe.round_trip(docs, ranks, public_tokenizers.PATTERN, words).collect()
+        want = {r.doc_id: encoding.encode_ordinary(r.text) for r in docs.collect()}
+        assert {r.doc_id: (r.n_tokens, r.ids_sha256) for r in rows} == {
+            k: (len(v), hashlib.sha256(",".join(map(str, v)).encode()).hexdigest()) for k, v in want.items()
+        }
+
+
 def test_long_words_merge_alike(monkeypatch):
     ranks = byte_bpe.load_ranks(RANKS)
     own = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
