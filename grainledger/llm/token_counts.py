@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +16,13 @@ from .textscan import slices
 
 #: The sign that stands for a blank in pieces.
 BLANK = "▁"
+#: The state at a text's start: the suffix, then for each of its places the last token before it and the count there,
+#: seen from the end.
+ANEW = ("", None, 0)
 #: Characters whose state map is made at once, and characters between two marks of a map.
 CHUNK, MARK = 1 << 15, 64
+#: Units of up to so many characters are read together, and what they begin alike is read once; others one by one.
+SHORT = 64
 #: Text whose distinct words are counted together.
 STRIP = 1 << 21
 #: States and words that a task remembers at most; past that it starts anew, at the same results.
@@ -54,25 +60,26 @@ class Transducer:
     def __init__(self, pieces: dict[str, int]) -> None:
         self.pieces = pieces
         self.begun = {p[:n] for p in pieces for n in range(1, len(p))}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[str, dict[str | None, bool]] = {}
         self.own: dict[str, bool] = {}
         self.parts: dict[str, tuple[str, str]] = {}
         self.clear()
 
     def clear(self) -> None:
         self.pairs.clear()
+        self.plans: dict[str, tuple] = {}
         self.ids: dict[tuple, int] = {}
         self.states: list[tuple] = []
-        self.moves: list[dict[str, tuple[int, int]]] = []
-        self.start = self._state("", ((None, 0),))
+        self.moves: dict[int, int] = {}
+        self.sorted = np.full((2, 1), 1 << 62)  # one column stands behind all keys
+        self.start = self._state(ANEW)
 
-    def _state(self, suffix: str, history: tuple) -> int:
-        key = (suffix, history)
-        if key not in self.ids:
-            self.ids[key] = len(self.states)
-            self.states.append(key)
-            self.moves.append({})
-        return self.ids[key]
+    def _state(self, held: tuple) -> int:
+        found = self.ids.get(held)
+        if found is None:
+            found = self.ids[held] = len(self.states)
+            self.states.append(held)
+        return found
 
     def merge(self, text: str) -> list[str]:
         """The merges themselves, on a short text."""
@@ -105,64 +112,131 @@ class Transducer:
         """
         if a is None or (b[0] == BLANK and a[-1] != BLANK):
             return True
-        key = (a, b)
-        if key not in self.pairs:
-            rank, limit = self.pieces, len(self.pieces) + 1
-            while True:
-                if rank.get(a + b, limit) < limit:
-                    self.pairs[key] = False
-                    break
-                made_a = rank[a] if len(a) > 1 else -1
-                made_b = rank[b] if len(b) > 1 else -1
-                if made_a < 0 and made_b < 0:
-                    self.pairs[key] = True
-                    break
-                if made_a > made_b:
-                    limit, a = made_a, self._split(a)[1]
-                else:  # of equal merges the left one comes first
-                    limit, b = made_b + 1, self._split(b)[0]
-        return self.pairs[key]
+        rank, limit = self.pieces, len(self.pieces) + 1
+        while True:
+            if rank.get(a + b, limit) < limit:
+                return False
+            made_a = rank[a] if len(a) > 1 else -1
+            made_b = rank[b] if len(b) > 1 else -1
+            if made_a < 0 and made_b < 0:
+                return True
+            if made_a > made_b:
+                limit, a = made_a, self._split(a)[1]
+            else:  # of equal merges the left one comes first
+                limit, b = made_b + 1, self._split(b)[0]
 
     def _whole(self, piece: str) -> bool:
         if piece not in self.own:
             self.own[piece] = len(piece) == 1 or (piece in self.pieces and self.merge(piece) == [piece])
         return self.own[piece]
 
+    def _places(self, suffix: str) -> list[int]:
+        """Where a piece under way may begin, and the end: only these places of a suffix are kept."""
+        return [i for i in range(len(suffix)) if suffix[i:] in self.begun] + [len(suffix)]
+
+    def _plan(self, text: str) -> tuple:
+        """What a character does to every state whose suffix stands before it in text.
+
+        The pieces that may be the last token, longest first, each with the kept place where it begins, its cost and the
+        tokens that it was compared with; the suffix that goes out; and which kept places stay.
+        """
+        before = self._places(text[:-1])
+        pieces = tuple(
+            # an unknown character becomes its bytes
+            (2 * at + 1, text[i:], 1 if text[i:] in self.pieces else len(text[i:].encode()), self.pairs.setdefault(text[i:], {}))
+            for at, i in enumerate(before)
+            if self._whole(text[i:])
+        )
+        after = set(self._places(text))
+        skip = min(after)
+        return pieces, text[skip:], tuple(2 * at + 1 for at, i in enumerate(before) if i in after)
+
     def step(self, state: int, char: str) -> tuple[int, int]:
-        found = self.moves[state].get(char)
-        if found is not None:
-            return found
-        suffix, history = self.states[state]
-        last = history[-1][0]
+        move = self.moves.get(state << 21 | ord(char))
+        if move is None:
+            move = self._move(state, char)
+        return move >> 16, (move & 0xFFFF) - 0x8000
+
+    def _move(self, state: int, char: str) -> int:
+        """A transition met for the first time: the state that goes out and the change of the count, in one number."""
+        held = self.states[state]
+        last = held[-2]
         if char == BLANK and last is not None and last[-1] != BLANK:
-            suffix, history = "", ((None, 0),)
-        text = suffix + char
-        for n in range(len(text), 0, -1):
-            piece = text[-n:]
-            before, count = history[len(text) - n]
-            if self._whole(piece) and self._apart(before, piece):
+            held = ANEW
+        text = held[0] + char
+        plan = self.plans.get(text)
+        if plan is None:
+            plan = self.plans[text] = self._plan(text)
+        pieces, suffix, kept = plan
+        for at, piece, cost, known in pieces:
+            before = held[at]
+            apart = known.get(before)
+            if apart is None:
+                apart = known[before] = self._apart(before, piece)
+            if apart:
                 break
-        cost = 1 if piece in self.pieces else len(piece.encode())  # an unknown character becomes its bytes
-        delta = count + cost
-        places = [(p, c - delta) for p, c in history] + [(piece, 0)]
-        skip = next((i for i in range(len(text)) if text[i:] in self.begun), len(text))
-        text, places = text[skip:], places[skip:]
-        # places where no piece under way begins do not matter, but for the last one
-        kept = tuple(
-            x if i == len(text) or text[i:] in self.begun else (None, 0) for i, x in enumerate(places)
-        )
-        out = (self._state(text, kept), delta)
-        self.moves[state][char] = out
-        return out
+        delta = held[at + 1] + cost
+        after = [suffix]
+        for at in kept:
+            after += (held[at], held[at + 1] - delta)
+        after += (piece, 0)
+        move = self.moves[state << 21 | ord(char)] = self._state(tuple(after)) << 16 | delta + 0x8000
+        return move
 
     def run(self, state: int, text: str) -> tuple[int, int]:
         total, moves = 0, self.moves
         for char in text:
-            found = moves[state].get(char)
-            state, delta = self.step(state, char) if found is None else found
-            total += delta
+            move = moves.get(state << 21 | ord(char))
+            if move is None:
+                move = self._move(state, char)
+            state = move >> 16
+            total += (move & 0xFFFF) - 0x8000
         return state, total
 
+    def _sorted_moves(self) -> np.ndarray:
+        """Keys of the transitions met so far, in order, and the transitions; those met since the last call are added."""
+        fresh = np.array(list(islice(self.moves.items(), self.sorted.shape[1] - 1, None)), np.int64).reshape(-1, 2).T
+        fresh = fresh[:, np.argsort(fresh[0])]
+        self.sorted = np.insert(self.sorted, np.searchsorted(self.sorted[0], fresh[0]), fresh, axis=1)
+        return self.sorted
+
+    def run_all(self, texts: list[str]) -> np.ndarray:
+        """The change of the token count over each text, from the start state.
+
+        The texts are read side by side in sorted order, a character of each at a time. Where a text begins like the
+        one before it, the two are in one state, and only one of them is read.
+        """
+        total = np.zeros(len(texts), np.int64)
+        if not texts:
+            return total
+        order = sorted(range(len(texts)), key=texts.__getitem__)
+        texts = [texts[i] for i in order]
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        chars = np.array(texts).view(np.uint32).reshape(len(texts), -1)
+        alike = chars[1:] == chars[:-1]
+        alike = np.where(alike.all(axis=1), chars.shape[1], alike.argmin(axis=1))
+        alike = np.append(-1, np.minimum(alike, np.minimum(size[1:], size[:-1])))
+        rows, state = np.arange(len(texts)), np.full(len(texts), self.start)
+        moves, low = self.moves, (1 << 21) - 1
+        met, leads = self._sorted_moves()
+        for k in range(chars.shape[1]):
+            going = size[rows] > k
+            rows, state = rows[going], state[going]
+            if not len(rows):
+                break
+            own = alike[rows] <= k
+            keys, which = np.unique(state[own] << 21 | chars[rows[own], k], return_inverse=True)
+            at = np.searchsorted(met, keys)
+            found = leads[at]
+            new = np.flatnonzero(met[at] != keys)
+            found[new] = [moves.get(key) or self._move(key >> 21, chr(key & low)) for key in keys[new].tolist()]
+            move = found[which][np.cumsum(own) - 1]
+            state = move >> 16
+            total[rows] += (move & 0xFFFF) - 0x8000
+        out = np.empty_like(total)
+        out[order] = total
+        return out
+
 
 class ChunkMap:
     """What a chunk does to any state that comes in: the state that goes out, and the change of the token count.
@@ -226,15 +300,26 @@ class Counter:
             maps = [Composed(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
         return maps[0](machine.start)[1]
 
-    def word(self, word: str) -> int:
-        """Tokens of one blank and a word."""
-        found = self.words.get(word)
-        if found is None:
-            found = self.unit(BLANK + word)
-            if len(self.words) >= WORDS:
-                self.words.clear()
-            if len(word) <= 64:
-                self.words[word] = found
+    def units(self, texts: list[str]) -> np.ndarray:
+        """The same of many units; short ones are read together."""
+        out = np.zeros(len(texts), np.int64)
+        most = min(SHORT, CHUNK)
+        short = np.fromiter((len(t) <= most for t in texts), bool, len(texts))
+        out[short] = self.machine.run_all([t for t in texts if len(t) <= most])
+        for i in np.flatnonzero(~short).tolist():
+            out[i] = self.unit(texts[i])
+        return out
+
+    def each(self, words: list[str]) -> list[int]:
+        """Tokens of one blank and each of some distinct words."""
+        found = list(map(self.words.get, words))
+        new = [i for i, n in enumerate(found) if n is None]
+        if len(self.words) + len(new) > WORDS:
+            self.words.clear()
+        for i, n in zip(new, self.units([BLANK + words[i] for i in new]).tolist()):
+            found[i] = n
+            if len(words[i]) <= SHORT and len(self.words) < WORDS:
+                self.words[words[i]] = n
         return found
 
     def counts(self, texts: pa.Array) -> np.ndarray:
@@ -255,12 +340,13 @@ class Counter:
         plain = before == 0
         total = np.zeros(len(texts), np.int64)
         own = np.zeros(len(words), np.int64)
-        for i in np.unique(code[at[plain]]).tolist():
-            own[i] = self.word(words[i])
+        own[code[at[plain]]] = 1
+        met = np.flatnonzero(own)
+        own[met] = self.each([words[i] for i in met.tolist()])
         np.add.at(total, row[at[plain]], own[code[at[plain]]])
-        far, which = np.unique(np.stack([before[~plain], code[at[~plain]]]), axis=1, return_inverse=True)
-        each = np.fromiter((self.unit(BLANK * (k + 1) + words[i]) for k, i in far.T.tolist()), np.int64, far.shape[1])
-        np.add.at(total, row[at[~plain]], each[which.ravel()])
+        far, which = np.unique(before[~plain] * len(words) + code[at[~plain]], return_inverse=True)
+        each = self.units([BLANK * (k // len(words) + 1) + words[k % len(words)] for k in far.tolist()])
+        np.add.at(total, row[at[~plain]], each[which])
         final = np.full(len(texts), -1)
         np.maximum.at(final, row[at], at)
         trail = np.where(final >= 0, last - final, np.where(np.asarray(pc.binary_length(texts)) > 0, many, 0))

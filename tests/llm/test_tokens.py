@@ -51,6 +51,25 @@ def test_pairs_apart_as_merging_says(counter):
         assert machine._apart(a, b) == (machine.merge(a + b) == [a, b])
 
 
+def test_texts_read_together(library, counter):
+    """Side by side they give what each gives alone, and what they begin alike is read once."""
+    texts = random_texts(500, "abthe▁é😀\x00", 9) + ["a\x00", "a", "a\x00\x00", "a", "", "th" * 30, "th" * 30 + "e"]
+    machine = counter.machine
+    alone = [machine.run(machine.start, t)[1] for t in texts]
+    machine.clear()
+    assert machine.run_all(texts).tolist() == alone
+    assert machine.run_all(texts[::-1]).tolist() == alone[::-1]
+    alike = ["the" * 15 + c for c in "abcdefgh"]
+    machine.clear()
+    made = []
+    move, machine._move = machine._move, lambda *x: made.append(x) or move(*x)
+    try:
+        assert len(machine.run_all(alike)) == 8 and len(made) <= 45 + 8
+    finally:
+        del machine._move
+    assert [counter.count(t) for t in alike] == [len(library.encode(t)) for t in alike]
+
+
 def test_forgetting_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(token_counts, "STATES", 50)
     monkeypatch.setattr(token_counts, "WORDS", 20)
