@@ -16,6 +16,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .storage import settle
+
 #: Words that are folded once and looked up afterwards: the most frequent of all documents. All other words are folded
 #: where they stand; the ids are the same.
 FREQUENT_WORDS = 250_000
@@ -201,18 +203,18 @@ def token_words(ranks: dict[bytes, int]) -> dict[str, list[int]]:
 def frequent_table(docs: DataFrame, pattern: str, vocabulary: Vocabulary, words: int) -> pa.Table:
     """word, ids: the most frequent words, other than tokens, counted over all documents.
 
-    They stay in Arrow: as Python's strings and lists they take several times the memory, and the driver keeps it.
+    The words are chosen, written and folded on executors; the driver gets them once, with their ids. They stay in
+    Arrow: as Python's strings and lists they take several times the memory, and the driver keeps it.
     """
-    table = token_words(vocabulary.ranks)
+    spark = docs.sparkSession
+    tokens = pa.table({"word": pa.array(list(token_words(vocabulary.ranks)), pa.string())})
     found = docs.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("word"))
     found = found.where(F.octet_length("word") <= 64).groupBy("word").count()
-    top = found.orderBy(F.desc("count"), "word").limit(words + len(table)).select("word").toArrow()["word"].cast(pa.string())
-    rest = top.filter(pc.invert(pc.is_in(top, value_set=pa.array(list(table), pa.string())))).slice(0, words)
+    rest = found.join(spark.createDataFrame(tokens), "word", "left_anti")
+    top = settle(rest.orderBy(F.desc("count"), "word").limit(words).select("word"), "frequent")
+    ids = encode_words(top.repartition(16), vocabulary).withColumn("ids", F.col("ids").cast("array<int>"))
     kinds = pa.schema([("word", pa.string()), ("ids", pa.list_(pa.int64()))])
-    if not len(rest):
-        return kinds.empty_table()
-    ids = encode_words(docs.sparkSession.createDataFrame(pa.table({"word": rest})).repartition(16), vocabulary).toArrow()
-    return ids.select(kinds.names).cast(kinds)
+    return ids.select(kinds.names).toArrow().cast(kinds)
 
 
 def frequent_words(docs: DataFrame, pattern: str, vocabulary: Vocabulary, words: int) -> dict[str, list[int]]:
@@ -338,7 +340,7 @@ class Encoder:
     """Ids of many words: looked up in a table of frequent ones, merged and remembered otherwise."""
 
     def __init__(self, ranks: dict[bytes, int], words: pa.Array, sizes: np.ndarray, flat: np.ndarray) -> None:
-        self.ranks, self.words, self.sizes, self.flat = ranks, words, sizes, flat
+        self.ranks, self.words, self.sizes, self.flat = ranks, words, sizes.astype(np.int64), flat.astype(np.int64)
         self.rare: dict[str, array] = {}
         top = max(ranks.values()) + 1
         names, pieces = [b""] * top, [b""] * top
@@ -420,8 +422,8 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, words: in
     names = pa.concat_arrays([pa.array(list(tokens), pa.string()), *frequent["word"].chunks])
     sizes = np.concatenate([np.ones(len(tokens), np.int64), np.asarray(lists.value_lengths(), np.int64)])
     flat = np.concatenate([np.fromiter((r for [r] in tokens.values()), np.int64, len(tokens)), np.asarray(lists.flatten(), np.int64)])
-    # at most `words` words and the tokens; the dict is the worker's own
-    shared = spark.sparkContext.broadcast((ranks, names, sizes, flat, {}))
+    # at most `words` words of up to 64 bytes and the tokens, ranks of 16 bits; the dict is the worker's own
+    shared = spark.sparkContext.broadcast((ranks, names, sizes.astype(np.uint8), flat.astype(np.uint16), {}))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         *known, kept = shared.value

@@ -147,6 +147,19 @@ def test_frequent_words_stay_in_arrow(spark, monkeypatch):
         }
 
 
+def test_frequent_words_are_not_handed_back(spark, monkeypatch):
+    """They come to the driver once, with their ids, and are not made into a local frame there."""
+    docs = spark.createDataFrame([(1, "zzqqx zzqqx qqzzv, the"), (2, "zzqqx")], "doc_id long, text string")
+    vocabulary = byte_bpe.Vocabulary.of(byte_bpe.load_ranks(RANKS))
+    split = byte_bpe.java_pattern(spark, public_tokenizers.PATTERN)
+    local, make = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **b: local.append(data) or make(self, data, *a, **b))
+    found = byte_bpe.frequent_table(docs, split, vocabulary, 1)
+    assert found["word"].to_pylist() == ["zzqqx"]
+    given = [t["word"].to_pylist() for t in local if "word" in t.column_names]
+    assert given and all("zzqqx" not in w and " zzqqx" not in w for w in given)
+
+
 def test_long_words_merge_alike(monkeypatch):
     ranks = byte_bpe.load_ranks(RANKS)
     own = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
