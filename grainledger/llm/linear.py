@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,11 +17,14 @@ class Rows:
     values: np.ndarray
 
     @classmethod
-    def of(cls, columns: list[np.ndarray], values: list[np.ndarray] | None = None) -> Rows:
+    def of(cls, columns: list[np.ndarray], values: Iterable[np.ndarray] | None = None) -> Rows:
+        """Columns keep their type of integer; values are taken row by row, so that they are never there twice."""
         start = np.concatenate([[0], np.cumsum([len(c) for c in columns])]).astype(np.int64)
         flat = np.concatenate(columns) if columns else np.zeros(0, np.int64)
-        own = np.concatenate(values) if values else np.ones(len(flat))
-        return cls(start, flat.astype(np.int64), own.astype(float))
+        own = np.ones(len(flat))
+        for at, row in zip(start.tolist(), values or ()):
+            own[at : at + len(row)] = row
+        return cls(start, flat, own)
 
     def __len__(self) -> int:
         return len(self.start) - 1

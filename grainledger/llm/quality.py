@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -165,12 +166,14 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Quality
                 yield pa.record_batch([part.column(1), part.column(2), pa.array(grams, pa.binary())], names=["doc_id", "y", "grams"])
 
     table = texts.select("text", "doc_id", "y").mapInArrow(work, "doc_id long, y int, grams binary").toArrow()
-    table = table.sort_by("doc_id")
-    columns = [np.frombuffer(g.as_py(), "<i4") for g in table["grams"]]
-    truth = np.asarray(table["y"])
+    order = np.asarray(pc.sort_indices(table["doc_id"]))
+    columns = [np.frombuffer(table["grams"][i].as_buffer(), "<i4") for i in order.tolist()]
+    truth = np.asarray(table["y"])[order]
     if len(set(truth.tolist())) < 2:
         return QualityModel(np.zeros(width), 0.0)
-    rows = Rows.of(columns, [ratio[c] / np.sqrt(max(len(c), 1)) for c in columns])
+    rows = Rows.of(columns, (ratio[c] / np.sqrt(max(len(c), 1)) for c in columns))
+    del table, columns  # views of one another; the driver keeps them once, and what Arrow holds unused goes back
+    pa.default_memory_pool().release_unused()
     sign = np.where(truth == 1, 1.0, -1.0)
     cost = np.where(truth == 1, 0.5 / (truth == 1).mean(), 0.5 / (truth == 0).mean())
     weights, bias = hinge_by_dual_descent(rows, sign, cost, width)

@@ -137,6 +137,19 @@ def test_quality_of_awkward_rows(spark, awkward, no_docs):
     assert quality.quality_scores(no_docs, labels).count() == 0
 
 
+def test_rows_are_held_once():
+    """Columns keep their type, values are taken one row at a time: the driver holds a sample once."""
+    columns = [np.arange(i % 5, 1000, dtype="<i4") for i in range(1000)]
+    tracemalloc.start()
+    rows = linear.Rows.of(columns, (1.0 / (c + 1) for c in columns))
+    size, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert rows.columns.dtype == np.int32 and rows.values.dtype == float and rows.start[-1] == len(rows.values) == sum(map(len, columns))
+    assert (rows.columns == np.concatenate(columns)).all() and np.array_equal(rows.values, 1.0 / (rows.columns + 1))
+    assert peak < 1.3 * size < 1.3 * 13 * len(rows.values)
+    assert len(linear.Rows.of([])) == 0 and linear.Rows.of([np.zeros(0, "<i4"), columns[0]]).values.sum() == 1000
+
+
 def test_dual_descent_separates():
     rng = np.random.default_rng(1)
     x = [np.unique(rng.integers(0, 40, 6) + (40 if i % 2 else 0)) for i in range(200)]
