@@ -17,16 +17,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import settle
+from .storage import TEXTS, batches, settle
 from .textscan import WORD, mix, slices, span_hashes, spans, text_bytes
 
 #: Weight of the single-word model in the pair model, in pairs.
 PRIOR = 32.0
 #: Share of all words from which a word, or a pair of such words, is common. Its losses are the same either way.
 COMMON = 2.0**-13
-#: Words of the corpus a bucket, and buckets a task.
-BUCKET_WORDS, BUCKETS = 1 << 20, 8
-#: Text handled at once, and pairs a row that travels: Spark hands some 10,000 rows at once to a task, whatever their size.
+#: Words of the corpus a bucket, and buckets a task: a task fetches and sorts some 20 MB of pairs a bucket.
+BUCKET_WORDS, BUCKETS = 1 << 20, 2
+#: Text handled at once, and pairs a row that travels: TEXTS such rows are handed to a task at once.
 STRIP_BYTES, ROW_PAIRS = 1 << 21, 128
 #: Pairs of a bucket whose losses are worked out at once, about; their working arrays are some 200 bytes a pair.
 PART_PAIRS = 1 << 17
@@ -56,6 +56,17 @@ def marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return both if few else settle(both, "marked")
 
 
+def strips(found: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The rows in runs of about `most` bytes of text, however few of them come at once; a longer single text is a run of its own."""
+    rest = None
+    for batch in found:
+        parts = list(slices(batch if rest is None else pa.concat_batches([rest, batch]), "text", most))
+        yield from parts[:-1]
+        rest = parts[-1] if parts else None
+    if rest is not None:
+        yield rest
+
+
 def _neighbours(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether each word is the first and the last of its text."""
     edge = np.ones(len(rows) + 1, bool)
@@ -70,17 +81,16 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", STRIP_BYTES):
-                found, rows, _ = words(part.column(0))
-                first, last = _neighbours(rows)
-                mark = np.asarray(part.column(1))[rows]
-                word, place = np.unique(np.append(found, START), return_inverse=True)
-                at, size = place[:-1], len(word)
-                sums = [np.bincount(at[keep], minlength=size) for keep in (mark, mark | True, mark & ~last, ~last)]
-                for counts, starts in ((sums[2], first & mark), (sums[3], first)):
-                    counts[place[-1]] += starts.sum()
-                yield pa.record_batch([pa.array(word), *map(pa.array, sums)], names=["word", "t", "b", "ft", "fb"])
+        for part in strips(batches, STRIP_BYTES):
+            found, rows, _ = words(part.column(0))
+            first, last = _neighbours(rows)
+            mark = np.asarray(part.column(1))[rows]
+            word, place = np.unique(np.append(found, START), return_inverse=True)
+            at, size = place[:-1], len(word)
+            sums = [np.bincount(at[keep], minlength=size) for keep in (mark, mark | True, mark & ~last, ~last)]
+            for counts, starts in ((sums[2], first & mark), (sums[3], first)):
+                counts[place[-1]] += starts.sum()
+            yield pa.record_batch([pa.array(word), *map(pa.array, sums)], names=["word", "t", "b", "ft", "fb"])
 
     rows = docs.select("text", "target").mapInArrow(work, "word long, t long, b long, ft long, fb long")
     return rows.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("t", "b", "ft", "fb")))
@@ -116,25 +126,25 @@ def _common_pairs(docs: DataFrame, model: Model, least: float) -> None:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
-            for part in slices(batch, "text", STRIP_BYTES):
-                found, rows, _ = words(part.column(0))
-                w = own.codes(found)
-                v = np.where(_neighbours(rows)[0], START, np.roll(w, 1))
-                both = (v >= 0) & (w >= 0)
-                pair, place = np.unique(own.pair_keys(v, w)[both], return_inverse=True)
-                t = np.bincount(place[np.asarray(part.column(1))[rows[both]]], minlength=len(pair))
-                yield pa.record_batch([pa.array(pair), pa.array(t), pa.array(np.bincount(place, minlength=len(pair)))], names=["pair", "t", "b"])
+        for part in strips(batches, STRIP_BYTES):
+            found, rows, _ = words(part.column(0))
+            w = own.codes(found)
+            v = np.where(_neighbours(rows)[0], START, np.roll(w, 1))
+            both = (v >= 0) & (w >= 0)
+            pair, place = np.unique(own.pair_keys(v, w)[both], return_inverse=True)
+            t = np.bincount(place[np.asarray(part.column(1))[rows[both]]], minlength=len(pair))
+            yield pa.record_batch([pa.array(pair), pa.array(t), pa.array(np.bincount(place, minlength=len(pair)))], names=["pair", "t", "b"])
 
     counts = docs.select("text", "target").mapInArrow(work, "pair long, t long, b long").groupBy("pair")
-    found = counts.agg(F.sum("t").alias("t"), F.sum("b").alias("b")).where(F.col("b") >= least).orderBy("pair").toArrow()
+    with batches(docs.sparkSession, TEXTS):
+        found = counts.agg(F.sum("t").alias("t"), F.sum("b").alias("b")).where(F.col("b") >= least).orderBy("pair").toArrow()
     model.pairs = np.asarray(found["pair"], np.int64)
     model.seen = np.array([np.asarray(found[c], float) for c in "tb"])
 
 
 def fit(docs: DataFrame) -> Model:
     """What tasks must know of both models before they see a pair: totals and the common words and pairs."""
-    counts = settle(_word_counts(docs), "words")
+    counts = settle(_word_counts(docs), "words", batch=TEXTS)
     t, b, size = (int(x or 0) for x in counts.agg(F.sum("t"), F.sum("b"), F.count_if(F.col("b") > 0)).first())
     least = max(2.0, COMMON * b)
     top = counts.where((F.col("b") >= least) | (F.col("word") == START)).orderBy("word").toArrow()  # at most 1 / COMMON
@@ -329,9 +339,8 @@ def cross_entropy_difference(docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", STRIP_BYTES):
-                yield from _pack(shared.value, part)
+        for part in strips(batches, STRIP_BYTES):
+            yield from _pack(shared.value, part)
 
     def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in _runs(batches):
@@ -343,4 +352,5 @@ def cross_entropy_difference(docs: DataFrame) -> DataFrame:
     packed = rows.select("doc_id", F.xxhash64("text").alias("digest"), "target", "text").mapInArrow(pack, _PACKED)
     together = packed.repartition(-(-model.buckets // BUCKETS), "bucket").sortWithinPartitions("bucket")
     sums = together.mapInArrow(losses, _SUMS)
-    return sums.repartition("strip").sortWithinPartitions("strip").mapInArrow(means, _OUT)
+    # written here: rows of texts and of packed pairs are wide, and few of them at once fill an executor's memory less
+    return settle(sums.repartition("strip").sortWithinPartitions("strip").mapInArrow(means, _OUT), "losses", batch=TEXTS)

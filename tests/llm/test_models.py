@@ -100,6 +100,36 @@ def test_repeated_strips_keep_their_rows(spark, prose):
         assert sorted((r.doc_id, r.n_words, round(r.target_loss, 6), round(r.background_loss, 6)) for r in got) == want
 
 
+@pytest.mark.parametrize("rows", [1, 7, 40])
+def test_strips_do_not_depend_on_batches(prose, rows):
+    """Small batches make no smaller strips, and keep every row in its place."""
+    texts = [None if i % 9 == 4 else prose(i, 400 if i == 20 else i) for i in range(40)]
+    table = pa.table({"n": list(range(40)), "text": pa.array(texts, pa.string())})
+    none = pa.RecordBatch.from_pylist([], schema=table.schema)
+    parts = list(lm_score.strips(iter([none, *table.to_batches(max_chunksize=rows), none]), 300))
+    assert [n for part in parts for n in part["n"].to_pylist()] == list(range(40))
+    size = [sum(len((t or "").encode()) for t in part["text"].to_pylist()) for part in parts]
+    assert all(n <= 300 or part.num_rows == 1 for n, part in zip(size, parts))
+    whole = list(lm_score.strips(iter(table.combine_chunks().to_batches()), 300))
+    assert [part["n"].to_pylist() for part in parts] == [part["n"].to_pylist() for part in whole]
+    assert not list(lm_score.strips(iter([]), 300))
+
+
+def test_language_models_take_few_wide_rows_at_once(spark, awkward, monkeypatch):
+    """Every written step reads texts and packed pairs by small batches; the session's own number is back afterwards."""
+    taken, real = {}, lm_score.settle
+
+    def settle(df, name, batch=None):
+        taken[name] = batch
+        return real(df, name, batch)
+
+    monkeypatch.setattr(lm_score, "settle", settle)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    lm_score.cross_entropy_difference(awkward.withColumn("target", F.col("doc_id") == 1)).collect()
+    assert set(taken) == {"words", "losses"} and all(n and n <= 1000 for n in taken.values())
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_language_models_count_all_of_a_table(spark):
     """Exact on a whole table: nothing is folded, hashed together or left out."""
     sf_dir = "/root/testdata/sf0.001"
