@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .cells import cell_bounds, cell_of, same_keys
+from .cells import SHARED_BYTES, cell_of, same_keys, shared_bounds
 from .dedupe import latest_per_key, tie_breakers
+from .sizing import bounded_side
 
 # Fixed value: end of an open validity interval.
 OPEN_END = "9999-12-31 00:00:00"
@@ -27,17 +28,18 @@ def scd2(df: DataFrame, key: str | Sequence[str], ts: str, seq: str, op: str,
     last captured one can have a non-empty interval, so the others go first (before the shuffle).
 
     The changes of a busy key (more than `busy_above`) are dealt to cells of about equally many
-    changes (see `cell_bounds`). The next change is looked up inside a key's cell and then across the
-    key's cells: the second window holds one row per key and cell, some CELLS at most. So a key that
+    changes (see `shared_bounds`). The next change is looked up inside a key's cell and then across the
+    key's cells: the second window holds one row per key and cell, some SHARED at most. So a key that
     owns a third of the stream is spread over tasks however its changes are spread over time.
+
+    The bounds are drawn from the stream's keys and times, not from the deduplicated changes, and broadcast: the
+    changes are shuffled whole once to lose copies and once to be ordered, whatever a query on the history filters.
     """
     keys = _as_list(key)
     dated = df.where(F.col(ts).isNotNull())
     last = latest_per_key(dated, [*keys, ts], [seq], nulls="first")
-    # reading `op` keeps the whole row in the grouping, so that its shuffle serves every use
-    changes = last.select(*keys, ts, op).where(F.coalesce(F.col(op), F.lit("")) != "?")
     mine = [f"_b_{k}" for k in keys]
-    bounds = cell_bounds(changes, keys, ts, busy_above)
+    bounds = bounded_side(shared_bounds(dated.select(*keys, ts), keys, ts, busy_above), SHARED_BYTES)
     dealt = last.join(bounds, same_keys(keys, mine), "left").select(*last.columns, cell_of(F.col(ts)).alias("_cell"))
     in_cell = Window.partitionBy(*keys, "_cell").orderBy(ts)
     stepped = dealt.withColumn("_next", F.lead(ts).over(in_cell)).withColumn("_opens", F.first(ts).over(in_cell))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sizing import bounded_side
+
 #: Cells of a large group, and bounds that are compared one by one when a value's cell is looked up.
 CELLS, STRIDE = 1024, 32
 #: Bounds of all groups together, and groups that have some, where bounds are broadcast. An estimate of their bytes at most.
@@ -47,20 +49,20 @@ def cell_of(value: Column) -> Column:
     return F.when(F.col("_bounds").isNull() | value.isNull(), F.lit(0)).otherwise(at[0])
 
 
-def shared_bounds(rows: DataFrame, key: str, value: str, above: int, named: str = "_b_") -> DataFrame:
+def shared_bounds(rows: DataFrame, keys: Sequence[str], value: str, above: int, named: str = "_b_") -> DataFrame:
     """Like `cell_bounds`, with SHARED bounds for all groups together, about: at any size a frame that can be broadcast.
 
     The LARGEST groups of more than `above` rows get them, one for every so many rows. What is left, a cell or a whole
     group, has about 1 / SHARED of these groups' rows, or 1 / LARGEST at most where more groups than that are as large.
     """
-    mine = f"{named}{key}"
+    mine = [f"{named}{k}" for k in keys]
     present = rows.where(F.col(value).isNotNull())
-    large = present.groupBy(F.col(key).alias(mine)).agg(F.count("*").alias("_rows")).where(F.col("_rows") > above)
-    large = large.orderBy(F.desc("_rows"), mine).limit(LARGEST)
+    large = present.groupBy(*[F.col(k).alias(m) for k, m in zip(keys, mine)]).agg(F.count("*").alias("_rows"))
+    large = large.where(F.col("_rows") > above).orderBy(F.desc("_rows"), *mine).limit(LARGEST)
     every = F.ceil(F.sum("_rows").over(Window.partitionBy()) / SHARED)  # over LARGEST rows
-    large = large.select(mine, every.alias("_every"))
-    drawn = present.join(large, F.col(key) == F.col(mine)).where(F.pmod(F.xxhash64(value), F.col("_every")) == 0)
-    return _with_coarse(drawn.groupBy(mine).agg(F.array_sort(F.collect_set(value)).alias("_bounds")))
+    large = bounded_side(large.select(*mine, every.alias("_every")), SHARED_BYTES)
+    drawn = present.join(large, same_keys(keys, mine)).where(F.pmod(F.xxhash64(value), F.col("_every")) == 0)
+    return _with_coarse(drawn.groupBy(*mine).agg(F.array_sort(F.collect_set(value)).alias("_bounds")))
 
 
 def _with_coarse(bounds: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ from ..operators import (
     volume_vs_mean,
 )
 from ..operators.sizing import lookup_side
-from .staging import pos_lines
+from .staging import derived_of_line, pos_lines
 
 # A source suspected of adding freight to order values, and by how much.
 FREIGHT_SOURCE, FREIGHT_FACTOR = "PARTNER_API", 1.085
@@ -57,16 +59,31 @@ def single_factors(uom_conversion: DataFrame) -> DataFrame:
     return counted.select("sku_code", F.when(F.col("n") > 1, repeated).otherwise(F.col("eaches_per_case")).alias("eaches_per_case"))
 
 
+def set_apart(df: DataFrame, derived: Mapping[str, Column]) -> DataFrame:
+    """`df` for a shuffle: a column that `derived` can give again is left out, but for values that differ from it."""
+    odd = [F.when(~F.col(c).eqNullSafe(value), F.struct(F.col(c).alias("is"))).alias(f"_odd_{c}") for c, value in derived.items()]
+    return df.select(*[c for c in df.columns if c not in derived], *odd)
+
+
+def put_back(df: DataFrame, derived: Mapping[str, Column]) -> DataFrame:
+    """What `set_apart` left out, as it was."""
+    odd = {c: F.col(f"_odd_{c}") for c in derived}
+    whole = {c: F.when(odd[c].isNull(), value).otherwise(odd[c]["is"]) for c, value in derived.items()}
+    return df.withColumns(whole).drop(*[f"_odd_{c}" for c in derived])
+
+
 def fct_pos_line(pos: DataFrame, outlets: DataFrame, products: DataFrame, uom_conversion: DataFrame) -> DataFrame:
     """Canonical lines with the outlet as of the sale, product attributes and eaches.
 
     Both product lookups have one row per sku_code, which Spark sees: where no column of a lookup is asked for, its
     join and all behind it fall away. Where both are, the lines are dealt by the product key once for the two.
+    A line is shuffled without what follows from its other columns.
     """
+    derived = derived_of_line()
     master = products.select("sku_code", "product_name", "category", "case_pack")
     factors = single_factors(uom_conversion)
     with_outlet = asof_join(
-        pos,
+        set_apart(pos, derived),
         outlets,
         "outlet_code",
         "event_ts_utc",
@@ -77,9 +94,11 @@ def fct_pos_line(pos: DataFrame, outlets: DataFrame, products: DataFrame, uom_co
             "warehouse_code": "outlet_warehouse",
         },
     )
+    looked_up = with_outlet.join(lookup_side(master, products, copies=2), "sku_code", "left").join(
+        lookup_side(factors, uom_conversion, copies=2), "sku_code", "left"
+    )
     return (
-        with_outlet.join(lookup_side(master, products, copies=2), "sku_code", "left")
-        .join(lookup_side(factors, uom_conversion, copies=2), "sku_code", "left")
+        put_back(looked_up, derived)
         .withColumns(to_eaches("qty", "uom", "eaches_per_case", "case_pack"))
         .select(
             "txn_id",

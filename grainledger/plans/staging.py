@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -43,6 +43,15 @@ def pos_lines(raw_pos: DataFrame) -> DataFrame:
     )
 
 
+def derived_of_line() -> dict[str, Column]:
+    """Columns of a line that follow from its others: local time and business date of the sale, and gross value."""
+    return {
+        "event_ts_ist": local_time("event_ts_utc"),
+        "business_date": local_date("event_ts_utc"),
+        "gross_sales_inr": F.col("qty") * F.col("unit_price"),
+    }
+
+
 def stg_pos(raw_pos: DataFrame) -> DataFrame:
     """One row per transaction line: the first delivery, with local business date and gross value.
 
@@ -50,12 +59,7 @@ def stg_pos(raw_pos: DataFrame) -> DataFrame:
     carried through its shuffle.
     """
     lines = keep_first(pos_lines(raw_pos), ["txn_id", "txn_line_no"], ["ingest_date", "event_ts_utc"])
-    return lines.select(
-        "*",
-        local_time("event_ts_utc").alias("event_ts_ist"),
-        local_date("event_ts_utc").alias("business_date"),
-        (F.col("qty") * F.col("unit_price")).alias("gross_sales_inr"),
-    )
+    return lines.select("*", *[value.alias(name) for name, value in derived_of_line().items()])
 
 
 def dq_firmware_clock(raw_telemetry: DataFrame) -> DataFrame:

@@ -30,7 +30,8 @@ def _utc_text(ts: Column) -> Column:
 def raw_pos(spark: SparkSession, d: str) -> DataFrame:
     # joined by the feed's own key, so that the lines of a transaction are together already when they are deduplicated
     orders = table(spark, d, "orders").withColumn("txn_id", F.col("o_orderkey").cast("string"))
-    lines = table(spark, d, "lineitem").withColumn("txn_id", F.col("l_orderkey").cast("string")).join(orders, "txn_id")
+    lines = table(spark, d, "lineitem").withColumn("txn_id", F.col("l_orderkey").cast("string"))
+    lines = lines.withColumn("l_shipdate", F.col("l_shipdate").cast("date")).join(orders, "txn_id")
     whole = F.col("l_quantity").cast("int")
     return lines.select(
         "txn_id",
@@ -40,7 +41,7 @@ def raw_pos(spark: SparkSession, d: str) -> DataFrame:
         F.col("o_orderpriority").alias("channel"),
         _tag("SKU", "l_partkey").alias("sku_code"),
         _utc_text(shift_hours("o_orderdate", F.col("l_linenumber") * 4)).alias("event_ts"),
-        F.col("l_shipdate").cast("date").alias("ingest_date"),
+        F.col("l_shipdate").alias("ingest_date"),
         F.when(F.col("l_linestatus") == "F", whole).alias("qty"),
         F.when(F.col("l_linestatus") == "O", whole).alias("quantity_units"),
         F.when(F.col("l_returnflag") == "A", "EA").when(F.col("l_returnflag") == "N", "CS").alias("uom"),
